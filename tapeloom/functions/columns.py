@@ -44,7 +44,7 @@ def bps_from(price: Column, reference: Column) -> Column:
 
 def scaled(value: Column | str, places: int) -> Column:
     """A value rounded to `places` decimals as an integer count of its last place."""
-    return F.round(_col(value) * 10**places).cast("long")
+    return F.rint(_col(value) * 10**places).cast("long")
 
 
 def sum_of_rounded(value: Column | str, places: int = 2) -> Column:

@@ -132,9 +132,12 @@ def _inherited(sliced: DataFrame, live: DataFrame, prices: DataFrame) -> DataFra
 
 
 def judge_actions(
-    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "hour"
+    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "day"
 ) -> DataFrame:
-    """Every action with its verdict and the state of its order before it.
+    """Every action with its verdict, the status of its order before it and the value it replaces.
+
+    qty_before is given for size actions, price_before for price actions and
+    executions, hedge_before for hedges, filled_before for executions.
 
     `grain` is the time slice by which the actions of one order are split (second,
     minute, hour, day); pick it so that one slice of the busiest order fits one task.
@@ -182,8 +185,11 @@ def judge_actions(
                    F.round(bps_from(F.col("fill_price"), F.col("arrival_price")), 2)).otherwise(0.0),
         ))
         .select(
-            *TABLES["actions"].columns, "seq", "verdict", "status_before", "qty_before",
-            "price_before", "hedge_before", F.col("filled0").alias("filled_before"),
+            *TABLES["actions"].columns, "seq", "verdict", "status_before",
+            F.when(kind == "ADJUST_SIZE", F.col("qty_before")).alias("qty_before"),
+            F.when(kind.isin("ADJUST_PRICE", "EXECUTE"), F.col("price_before")).alias("price_before"),
+            F.when(kind == "HEDGE", F.col("hedge_before")).alias("hedge_before"),
+            F.when(kind == "EXECUTE", F.col("filled0")).alias("filled_before"),
             "fill_price", "fill_slippage_bps",
         )
     )
@@ -296,7 +302,7 @@ def order_state(live_orders: DataFrame, judged: DataFrame) -> OrderState:
 
 
 def apply_order_actions(
-    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "hour"
+    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "day"
 ) -> OrderState:
     """Live orders, audit, rejections and hedge requests after a batch of actions.
 

@@ -90,7 +90,7 @@ def orders_by_status(orders: DataFrame) -> DataFrame:
     """Statuses that occur, most frequent first."""
     return (
         orders.groupBy("status")
-        .agg(F.count("order_id").alias("orders"))
+        .agg(F.count(F.lit(1)).alias("orders"))
         .orderBy(F.desc("orders"), "status")
     )
 
@@ -125,7 +125,7 @@ def fill_by_type(listing: DataFrame) -> DataFrame:
 def orders_over_time(active: DataFrame, bucket: str | None = None) -> DataFrame:
     """Orders per creation time and strategy; `bucket` truncates the time (hour, day, ...)."""
     at = F.date_trunc(bucket, "created_at") if bucket else F.col("created_at")
-    return active.groupBy(at.alias("created_at"), "strategy").agg(F.count("order_id").alias("orders"))
+    return active.groupBy(at.alias("created_at"), "strategy").agg(F.count(F.lit(1)).alias("orders"))
 
 
 def slippage_by_trader(traders: DataFrame) -> DataFrame:

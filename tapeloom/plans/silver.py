@@ -87,10 +87,13 @@ def enriched_executions(execs: DataFrame, orders: DataFrame, signed: bool = Fals
 
     Slippage is positive when the fill is above arrival, for both sides; `signed`
     turns it round for SELL, so that positive always means a cost.
+
+    Orders grow with the fills and are never broadcast. Both sides are partitioned by
+    order_id, which the aggregation per order that follows uses again.
     """
     parents = orders.select(
         "order_id", "qty", "arrival_price", "etf_ticker", "trader_id", "direction"
-    )
+    ).hint("merge")
     slippage = bps_from(F.col("fill_price"), F.col("arrival_price"))
     if signed:
         slippage = F.when(F.col("direction") == "SELL", -slippage).otherwise(slippage)

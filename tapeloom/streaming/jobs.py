@@ -132,7 +132,7 @@ def start_gold(
 
 
 def apply_batch(
-    spark: SparkSession, layout: Layout, actions: DataFrame, batch_id: int, grain: str = "hour"
+    spark: SparkSession, layout: Layout, actions: DataFrame, batch_id: int, grain: str = "day"
 ) -> None:
     """Apply one batch of actions to the stored live orders.
 
@@ -163,7 +163,7 @@ def start_actions(
     layout: Layout,
     trigger: Trigger = ONCE,
     max_files: int | None = None,
-    grain: str = "hour",
+    grain: str = "day",
 ) -> StreamingQuery:
     """Apply trader actions as they arrive; a live order table must exist.
 
