@@ -30,7 +30,7 @@ def newest(df: DataFrame, limit: int | None = None) -> DataFrame:
 # -- orders ------------------------------------------------------------------
 
 
-def active_orders(orders: DataFrame, analytics: DataFrame) -> DataFrame:
+def order_progress(orders: DataFrame, analytics: DataFrame) -> DataFrame:
     """Every silver order with its progress; orders without analytics show zeros."""
     progress = analytics.select(
         "order_id", "filled_qty", "fill_rate", "avg_slippage_bps", "estimated_completion_pct"
@@ -42,16 +42,25 @@ def active_orders(orders: DataFrame, analytics: DataFrame) -> DataFrame:
         F.coalesce(F.col("fill_rate") * 100, F.lit(0.0)).alias("fill_rate_pct"),
         F.coalesce("avg_slippage_bps", F.lit(0.0)).alias("avg_slippage_bps"),
         F.coalesce("estimated_completion_pct", F.lit(0.0)).alias("estimated_completion_pct"),
-    ).orderBy(F.desc("created_at"), "order_id")
+    )
 
 
-def execution_listing(analytics: DataFrame) -> DataFrame:
-    return newest(analytics.select(
+def active_orders(orders: DataFrame, analytics: DataFrame) -> DataFrame:
+    return newest(order_progress(orders, analytics))
+
+
+def execution_rows(analytics: DataFrame) -> DataFrame:
+    """Execution quality as the charts and counters use it, in no order."""
+    return analytics.select(
         "order_id", "trader_id", "etf_ticker", "direction", "qty", "filled_qty",
         (F.col("fill_rate") * 100).alias("fill_rate_pct"),
         "avg_slippage_bps", "avg_fill_price", "notional_value", "order_type", "strategy",
         "status", "created_at", "vwap_vs_limit",
-    ))
+    )
+
+
+def execution_listing(analytics: DataFrame) -> DataFrame:
+    return newest(execution_rows(analytics))
 
 
 def analytics_feed(analytics: DataFrame, limit: int | None = 200) -> DataFrame:
@@ -236,13 +245,20 @@ def price_history(
 # -- traders and instruments -------------------------------------------------
 
 
-def trader_listing(performance: DataFrame, traders: DataFrame) -> DataFrame:
+def trader_days(performance: DataFrame, traders: DataFrame) -> DataFrame:
+    """Trader days with name and desk, in no order."""
     who = traders.select("trader_id", F.col("name").alias("trader_name"), "desk")
     return performance.join(who, "trader_id", "left").select(
         "trader_id", "trader_name", "desk", "trade_date", "total_orders", "filled_orders",
         "active_orders", "fill_rate_pct", "avg_slippage_bps", "total_notional_usd",
         "total_filled_notional_usd", "unique_etfs_traded",
-    ).orderBy(F.desc("trade_date"), F.desc("total_notional_usd"), "trader_id")
+    )
+
+
+def trader_listing(performance: DataFrame, traders: DataFrame) -> DataFrame:
+    return trader_days(performance, traders).orderBy(
+        F.desc("trade_date"), F.desc("total_notional_usd"), "trader_id"
+    )
 
 
 def performance_feed(performance: DataFrame) -> DataFrame:
@@ -259,9 +275,11 @@ def hedge_listing(instruments: DataFrame) -> DataFrame:
 # -- scatter charts ----------------------------------------------------------
 
 
-def fill_vs_notional(listing: DataFrame) -> DataFrame:
+def fill_vs_notional(analytics: DataFrame) -> DataFrame:
     """Points of fill rate against notional, coloured by strategy and sized by quantity."""
-    return listing.select("order_id", "notional_value", "fill_rate_pct", "strategy", "qty")
+    return analytics.select(
+        "order_id", "notional_value", (F.col("fill_rate") * 100).alias("fill_rate_pct"), "strategy", "qty"
+    )
 
 
 def fill_vs_slippage(analytics: DataFrame, limit: int | None = 80) -> DataFrame:

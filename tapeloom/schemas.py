@@ -101,6 +101,7 @@ TABLES: dict[str, Table] = {
         "source string",
         keys=("ticker", "event_time"),
         day_of="event_time",
+        storage="batches",
     ),
     "orders_silver": Table(
         "order_id string, trader_id string, etf_ticker string, etf_name string, sector string, "

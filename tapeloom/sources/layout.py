@@ -67,9 +67,9 @@ def _day(table: Table) -> str:
 
 
 def _stored_ddl(table: Table) -> str:
-    if table.storage == "batches":
-        return f"{table.ddl}, batch bigint"
-    return f"{table.ddl}, {_day(table)} date" if table.day_of else table.ddl
+    batch = ", batch bigint" if table.storage == "batches" else ""
+    day = f", {_day(table)} date" if table.day_of else ""
+    return table.ddl + batch + day
 
 
 def _since(df: DataFrame, table: Table, since: Moment) -> DataFrame:
@@ -121,16 +121,11 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name].schema])
 
 
-def day_partitioned(df: DataFrame, name: str) -> DataFrame:
-    table = TABLES[name]
-    return df.withColumn(_day(table), F.to_date(table.day_of)) if table.day_of else df
-
-
-def partition_columns(name: str) -> list[str]:
-    table = TABLES[name]
-    if table.storage == "batches":
-        return ["batch"]
-    return [_day(table)] if table.day_of else []
+def _write_by_day(df: DataFrame, table: Table, path: str, mode: str, *folders: str) -> None:
+    if table.day_of:
+        df = df.withColumn(_day(table), F.to_date(table.day_of))
+        folders = (*folders, _day(table))
+    df.write.mode(mode).partitionBy(*folders).parquet(path)
 
 
 def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append") -> None:
@@ -139,19 +134,19 @@ def write_table(df: DataFrame, layout: Layout, name: str, mode: str = "append")
     df = conform(df, name)
     if table.storage == "snapshots":
         write_version(df, layout, name)
-        return
-    if table.storage == "batches":
-        if mode != "overwrite":
-            raise ValueError(f"{name} grows by write_batch")
+    elif table.storage == "append":
+        _write_by_day(df, table, layout.path(name), mode)
+    elif mode == "overwrite":
         df = df.withColumn("batch", F.lit(0).cast("long"))
+        _write_by_day(df, table, layout.path(name), mode, "batch")
     else:
-        df = day_partitioned(df, name)
-    df.write.mode(mode).partitionBy(*partition_columns(name)).parquet(layout.path(name))
+        raise ValueError(f"{name} grows by write_batch")
 
 
 def write_batch(df: DataFrame, layout: Layout, name: str, batch: int) -> None:
     """Write one micro-batch into its own folder; a retried batch replaces itself."""
-    conform(df, name).write.mode("overwrite").parquet(f"{layout.path(name)}/batch={batch}")
+    path = f"{layout.path(name)}/batch={batch}"
+    _write_by_day(conform(df, name), TABLES[name], path, "overwrite")
 
 
 def write_version(

@@ -1,8 +1,7 @@
 """Streams over the bronze tables and the order actions.
 
-Every sink is idempotent: the file sink keeps its own log, a micro-batch owns one
-folder, and a new version of a snapshot table is always derived from the version
-that the batch first saw.
+Every sink is idempotent: a micro-batch owns one folder, which a retry replaces, and a
+new version of the live orders is derived from the version that the batch first saw.
 """
 
 from __future__ import annotations
@@ -25,10 +24,7 @@ from tapeloom.session import tune
 from tapeloom.sources.layout import (
     Layout,
     _folder,
-    conform,
-    day_partitioned,
     exists,
-    partition_columns,
     read_stream,
     read_table,
     versions,
@@ -77,18 +73,11 @@ def start_silver(
     """
     tune(spark, streaming=True)
     if name == "market_data_silver":
+        def handle(batch: DataFrame, batch_id: int) -> None:
+            write_batch(batch, layout, name, batch_id)
+
         ticks = market_data_silver(_source(spark, layout, "raw_market_data", max_files))
-        return (
-            day_partitioned(conform(ticks, name), name)
-            .writeStream.queryName(name)
-            .outputMode("append")
-            .format("parquet")
-            .option("path", layout.path(name))
-            .option("checkpointLocation", layout.checkpoint(name))
-            .partitionBy(*partition_columns(name))
-            .trigger(**trigger)
-            .start()
-        )
+        return _each_batch(ticks, layout, name, trigger, handle)
     if name == "orders_silver":
         def handle(batch: DataFrame, batch_id: int) -> None:
             funds = read_table(batch.sparkSession, layout, "etf_reference")

@@ -66,15 +66,15 @@ class Desk:
 
     @cached_property
     def active(self) -> DataFrame:
-        return read_models.active_orders(self.orders, self.analytics)
+        return read_models.order_progress(self.orders, self.analytics)
 
     @cached_property
     def listing(self) -> DataFrame:
-        return read_models.execution_listing(self.analytics)
+        return read_models.execution_rows(self.analytics)
 
     @cached_property
     def trader_days(self) -> DataFrame:
-        return read_models.trader_listing(self.performance, self.traders)
+        return read_models.trader_days(self.performance, self.traders)
 
     @cached_property
     def live(self) -> DataFrame:
@@ -231,13 +231,13 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "trading_performance": lambda d: d.performance,
     "expectation_metrics": _expectation_metrics,
     "constraint_violations": _constraint_violations,
-    "active_orders": lambda d: d.active,
+    "active_orders": lambda d: read_models.active_orders(d.orders, d.analytics),
     "market_listing": lambda d: read_models.market_listing(d.snapshot),
     "market_feed": lambda d: read_models.market_feed(d.snapshot),
     "market_ticker": lambda d: read_models.market_ticker(d.snapshot),
-    "execution_listing": lambda d: d.listing,
+    "execution_listing": lambda d: read_models.execution_listing(d.analytics),
     "analytics_feed": lambda d: read_models.analytics_feed(d.analytics),
-    "trader_listing": lambda d: d.trader_days,
+    "trader_listing": lambda d: read_models.trader_listing(d.performance, d.traders),
     "performance_feed": lambda d: read_models.performance_feed(d.performance),
     "price_history_day": lambda d: read_models.price_history_day(d.market, MARKET_AS_OF),
     "price_history_ticker": _price_history,
@@ -261,7 +261,7 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "slippage_by_trader": lambda d: kpis.slippage_by_trader(d.trader_days),
     "notional_by_trader": lambda d: kpis.notional_by_trader(d.trader_days),
     "volume_by_etf": lambda d: kpis.volume_by_etf(read_models.market_listing(d.snapshot)),
-    "fill_vs_notional": lambda d: read_models.fill_vs_notional(d.listing),
+    "fill_vs_notional": lambda d: read_models.fill_vs_notional(d.analytics),
     "fill_vs_slippage": lambda d: read_models.fill_vs_slippage(d.analytics),
     "price_bounds": lambda d: kpis.price_bounds(_price_history(d)),
     "blotter_enriched": lambda d: read_models.blotter_enriched(d.live, d.analytics),

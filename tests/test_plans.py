@@ -136,3 +136,12 @@ def test_scans_are_pruned(spark, tmp_path):
 def test_top_k_does_not_sort_everything(spark):
     plan = plan_of(queries()["order_blotter"](spark, DIRECTORY))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("name", [
+    "slippage_by_etf", "fill_by_type", "orders_over_time", "dashboard_counters", "kpi_row",
+    "slippage_by_trader", "notional_by_trader", "fill_vs_notional", "orders_by_status",
+])
+def test_aggregates_do_not_sort_the_listing_below(spark, name):
+    plan = plan_of(queries()[name](spark, DIRECTORY))
+    assert plan.count("rangepartitioning") == (1 if name == "orders_by_status" else 0)

@@ -121,9 +121,9 @@ def test_incremental_snapshot_equals_the_full_one(spark, place):
     second = [tick("4", "2024-01-01 23:00:00", ticker="OLD", last_price=7.0),
               tick("5", "2024-01-02 12:00:00", last_price=95.0), tick("6", "2024-01-01 05:00:00", ticker="NEW")]
     full = lambda rows: market_data_silver(table(spark, "raw_market_data", rows, **TICK))
-    store.write_table(full(first), place, "market_data_silver")
+    store.write_batch(full(first), place, "market_data_silver", 0)
     refresh.refresh_market_snapshot(spark, place, as_of="2024-01-01 23:00:00")
-    store.write_table(full(second), place, "market_data_silver")
+    store.write_batch(full(second), place, "market_data_silver", 1)
     refresh.refresh_market_snapshot(spark, place, full(second), NOW)
     same(store.read_table(spark, place, "market_snapshot_gold"), market_snapshot_gold(full(first + second), NOW))
 
