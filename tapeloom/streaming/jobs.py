@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom.functions.columns import Moment
 from tapeloom.operators.order_state import judge_actions, order_state
+from tapeloom.operators.touched import split_by_keys
 from tapeloom.plans.refresh import (
     current_prices,
     refresh_market_snapshot,
@@ -87,7 +88,8 @@ def start_silver(
     if name == "executions_silver":
         def handle(batch: DataFrame, batch_id: int) -> None:
             orders = read_table(batch.sparkSession, layout, "raw_orders")
-            write_batch(executions_silver(batch, orders), layout, name, batch_id)
+            parents = split_by_keys(orders, batch).touched
+            write_batch(executions_silver(batch, parents), layout, name, batch_id)
 
         return _each_batch(
             _source(spark, layout, "raw_executions", max_files), layout, name, trigger, handle
@@ -126,7 +128,8 @@ def apply_batch(
     """Apply one batch of actions to the stored live orders.
 
     Verdicts are stored first, in a folder that names the version they were judged
-    against. A retry finds that folder and goes on from the same version.
+    against. A retry finds that folder and goes on from the same version. Orders
+    without actions are copied from it without a shuffle.
     """
     judged_at = f"{layout.path('judged_actions')}/batch={batch_id}"
     base = next(
@@ -137,14 +140,17 @@ def apply_batch(
     if base is None:
         base = versions(spark, layout, "live_orders")[-1]
         live = read_table(spark, layout, "live_orders", version=base)
-        verdicts = judge_actions(live, actions, current_prices(spark, layout), grain)
+        touched = split_by_keys(live, actions).touched
+        verdicts = judge_actions(touched, actions, current_prices(spark, layout), grain)
         verdicts.write.mode("overwrite").parquet(f"{judged_at}/base={base}")
     live = read_table(spark, layout, "live_orders", version=base)
-    after = order_state(live, spark.read.parquet(f"{judged_at}/base={base}"))
+    judged = spark.read.parquet(f"{judged_at}/base={base}")
+    touched, rest = split_by_keys(live, judged)
+    after = order_state(touched, judged)
     write_batch(after.audit, layout, "order_actions", batch_id)
     write_batch(after.rejected, layout, "rejected_actions", batch_id)
     write_batch(after.hedge_requests, layout, "hedge_requests", batch_id)
-    write_version(after.live_orders, layout, "live_orders", base + 1)
+    write_version(rest.unionByName(after.live_orders), layout, "live_orders", base + 1)
 
 
 def start_actions(

@@ -13,7 +13,7 @@ from tapeloom.plans import gold, kpis, read_models, silver
 from tapeloom.schemas import DIRECTIONS, TABLES
 from tapeloom.session import scratch_dir, tune
 from tapeloom.sources import snapshots
-from tapeloom.sources.desk_views import MARKET_AS_OF, ORDERS_AS_OF, spark_view
+from tapeloom.sources.desk_views import MARKET_AS_OF, ORDERS_AS_OF, VIEWS, spark_view
 from tapeloom.sources.layout import (
     Layout,
     read_stream,
@@ -38,7 +38,10 @@ class Desk:
         self.directory = directory
 
     def __getattr__(self, name: str) -> DataFrame:
-        return spark_view(self.spark, self.directory, name)
+        if name not in VIEWS:
+            raise AttributeError(name)
+        self.__dict__[name] = spark_view(self.spark, self.directory, name)
+        return self.__dict__[name]
 
     @cached_property
     def market(self) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators.order_state import judge_actions
+from tapeloom.operators.touched import split_by_keys
 from tapeloom.plans.gold import fills_per_order, order_analytics_gold
 from tapeloom.plans.silver import executions_silver, orders_silver
 from tapeloom.sources import layout as store
@@ -145,3 +146,26 @@ def test_top_k_does_not_sort_everything(spark):
 def test_aggregates_do_not_sort_the_listing_below(spark, name):
     plan = plan_of(queries()[name](spark, DIRECTORY))
     assert plan.count("rangepartitioning") == (1 if name == "orders_by_status" else 0)
+
+
+def test_a_micro_batch_does_not_shuffle_the_large_table(spark, tmp_path):
+    place = store.Layout(str(tmp_path))
+    store.write_table(many_orders(spark), place, "raw_orders")
+    orders = store.read_table(spark, place, "raw_orders")
+    batch = spark.createDataFrame([("O1",), ("O1",), ("O7",), ("none",), (None,)], "order_id string")
+    few = split_by_keys(orders, batch)
+    for part in few:
+        plan = plan_of(part)
+        assert "BroadcastHashJoin" in plan
+        scan = plan[: plan.index("FileScan")]
+        assert "Exchange hashpartitioning" not in scan
+    many = split_by_keys(orders, batch, limit=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan_of(many.touched)
+        assert "SortMergeJoin" in plan_of(many.rest)
+        for split in (few, many):
+            assert sorted(r.order_id for r in split.touched.collect()) == ["O1", "O7"]
+            assert split.rest.count() == 2998
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
