@@ -9,9 +9,9 @@ An action is judged by what precedes it for the same order, in the order of
   so the size or price before an action is the last such value before it.
 
 Both are prefix expressions over windows. One order may own a large share of all
-actions, so a window never spans an order: actions are split into slices of one order
-and one time grain, and what a slice inherits comes from the summaries of the
-earlier slices, of which an order has at most one per grain of its life.
+actions, so no window over actions spans an order: actions are split into slices of one
+order and one day, and into slices of one second on the days an order is hot. What a
+slice inherits comes from the summaries of the earlier slices of its order.
 """
 
 from __future__ import annotations
@@ -35,6 +35,8 @@ REJECTIONS = {
 }
 ACCEPTED = "OK"
 
+MAX_SLICE_ROWS = 1_000_000
+
 _SLICE = ["order_id", "slice"]
 
 
@@ -49,18 +51,41 @@ def _before(*partition: str, order: tuple[str, ...]):
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _sliced(actions: DataFrame, grain: str) -> DataFrame:
+def _with_slices(actions: DataFrame, grain: str, max_rows: int) -> DataFrame:
+    """Actions with the start of their slice.
+
+    Hot are the (order, grain) pairs with more than `max_rows` actions. Counting
+    combines on the map side, and there are at most total / max_rows such pairs, which
+    bounds what is broadcast.
+    """
+    coarse = F.date_trunc(grain, "ts")
+    hot = (
+        actions.groupBy(F.col("order_id").alias("hot_order"), coarse.alias("hot_slice"))
+        .count()
+        .where(F.col("count") > max_rows)
+        .select("hot_order", "hot_slice", F.lit(True).alias("is_hot"))
+    )
+    here = F.col("order_id").eqNullSafe(F.col("hot_order")) & (F.col("slice") == F.col("hot_slice"))
+    return (
+        actions.withColumn("slice", coarse)
+        .join(F.broadcast(hot), here, "left")
+        .withColumn(
+            "slice", F.when(F.col("is_hot"), F.date_trunc("second", "ts")).otherwise(F.col("slice"))
+        )
+        .drop("hot_order", "hot_slice", "is_hot")
+    )
+
+
+def _sliced(actions: DataFrame, grain: str, max_rows: int) -> DataFrame:
     """Actions with their position, and what precedes each inside its own slice."""
     kind = F.col("action_type")
     earlier = _before(*_SLICE, order=("ts", "action_id"))
     open_size = (kind == "ADJUST_SIZE") & (F.col("qty") > 0) & ~F.col("cancel_seen")
     open_price = (kind == "ADJUST_PRICE") & (F.col("price_limit") > 0) & ~F.col("cancel_seen")
+    dated = with_defaults(actions, {**TABLES["actions"].defaults, "ts": F.current_timestamp()})
     return (
-        with_defaults(actions, {**TABLES["actions"].defaults, "ts": F.current_timestamp()})
-        .withColumns({
-            "slice": F.date_trunc(grain, "ts"),
-            "seq": F.struct("ts", "action_id"),
-        })
+        _with_slices(dated, grain, max_rows)
+        .withColumn("seq", F.struct("ts", "action_id"))
         .withColumn("cancel_seen", F.coalesce(F.max(kind == "CANCEL").over(earlier), F.lit(False)))
         .withColumns({
             "size_value": F.when(open_size, F.col("qty")),
@@ -132,17 +157,21 @@ def _inherited(sliced: DataFrame, live: DataFrame, prices: DataFrame) -> DataFra
 
 
 def judge_actions(
-    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "day"
+    live_orders: DataFrame,
+    actions: DataFrame,
+    snapshot: DataFrame,
+    grain: str = "day",
+    max_rows: int = MAX_SLICE_ROWS,
 ) -> DataFrame:
     """Every action with its verdict, the status of its order before it and the value it replaces.
 
     qty_before is given for size actions, price_before for price actions and
     executions, hedge_before for hedges, filled_before for executions.
 
-    `grain` is the time slice by which the actions of one order are split (second,
-    minute, hour, day); pick it so that one slice of the busiest order fits one task.
+    The actions of one order are split by `grain` (hour, day, month), and by the second
+    where one slice would hold more than `max_rows` actions.
     """
-    sliced = _sliced(actions, grain)
+    sliced = _sliced(actions, grain, max_rows)
     before = sliced.join(_inherited(sliced, live_orders, snapshot), _SLICE, "left")
     kind, seq = F.col("action_type"), F.col("seq")
     live_here = F.col("open0") & ~F.col("cancelled_earlier")
@@ -302,14 +331,18 @@ def order_state(live_orders: DataFrame, judged: DataFrame) -> OrderState:
 
 
 def apply_order_actions(
-    live_orders: DataFrame, actions: DataFrame, snapshot: DataFrame, grain: str = "day"
+    live_orders: DataFrame,
+    actions: DataFrame,
+    snapshot: DataFrame,
+    grain: str = "day",
+    max_rows: int = MAX_SLICE_ROWS,
 ) -> OrderState:
     """Live orders, audit, rejections and hedge requests after a batch of actions.
 
     All four come from the same verdicts. Store `judge_actions` first and pass it to
     `order_state` where all four are written.
     """
-    return order_state(live_orders, judge_actions(live_orders, actions, snapshot, grain))
+    return order_state(live_orders, judge_actions(live_orders, actions, snapshot, grain, max_rows))
 
 
 def audit_trail(audit: DataFrame, orders: DataFrame) -> DataFrame:

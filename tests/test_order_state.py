@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators.order_state import (
     REJECTIONS,
+    _with_slices,
     adjustment_preview,
     apply_order_actions,
     audit_trail,
@@ -228,8 +229,10 @@ def replay(orders, actions, market):
     return live, verdicts, before
 
 
-@pytest.mark.parametrize("seed,grain", [(1, "second"), (2, "hour"), (3, "day"), (4, "month")])
-def test_equals_sequential_replay(spark, seed, grain):
+@pytest.mark.parametrize("seed,grain,max_rows", [
+    (1, "second", 10**6), (2, "hour", 10**6), (3, "day", 10), (4, "month", 20), (5, "month", 10**6),
+    (6, "day", 0)])
+def test_equals_sequential_replay(spark, seed, grain, max_rows):
     rng = random.Random(seed)
     market = {"SPY": 10.25, "QQQ": 12.5}
     orders = [
@@ -255,14 +258,14 @@ def test_equals_sequential_replay(spark, seed, grain):
 
     frame = table(spark, "live_orders", orders, **LIVE)
     acts = table(spark, "actions", actions).repartition(5, F.rand(seed))
-    judged = judge_actions(frame, acts, prices(spark, **market), grain).collect()
+    judged = judge_actions(frame, acts, prices(spark, **market), grain, max_rows).collect()
     assert {r.action_id: r.verdict for r in judged} == verdicts
     assert set(verdicts.values()) >= {"OK", "CLOSED", "BAD_VALUE", "UNKNOWN_ORDER"}
     for r in judged:
         if r.verdict == "OK":
             assert (r.status_before, r.qty_before, r.price_before, r.hedge_before) == before[r.action_id]
 
-    state = apply_order_actions(frame, acts, prices(spark, **market), grain)
+    state = apply_order_actions(frame, acts, prices(spark, **market), grain, max_rows)
     for r in state.live_orders.collect():
         assert {k: r[k] for k in live[r.order_id]} == live[r.order_id]
     assert state.audit.count() + state.rejected.count() == len(actions)
@@ -288,3 +291,16 @@ def test_audit_trail_and_preview(spark):
     assert {k: (r.new_notional, r.qty_change_pct) for k, r in rows.items()} == {
         1: (1000.0, 25.0), 2: (None, None), 3: (200.0, None), 4: (0.0, 300.0), 5: (0.0, None),
     }
+
+
+def test_slices_of_hot_orders(spark):
+    at = lambda i, when, order="O1": dict(action_id=i, order_id=order, ts=ts(f"2024-01-02 {when}"))
+    acts = table(spark, "actions", [
+        at(1, "10:00:00.1"), at(2, "10:00:00.9"), at(3, "10:00:01"), at(4, "12:00:00"),
+        at(5, "10:00:00", "O2"), at(6, "23:00:00", "O2"), at(7, "10:00:00", None), at(8, "11:00:00", None),
+        at(9, "12:00:00", None), at(10, "13:00:00", None)])
+    sliced = _with_slices(acts, "day", 3).groupBy("order_id", "slice").count()
+    found = {(r.order_id, r.slice.strftime("%H:%M:%S")): r["count"] for r in sliced.collect()}
+    assert found == {
+        ("O1", "10:00:00"): 2, ("O1", "10:00:01"): 1, ("O1", "12:00:00"): 1, ("O2", "00:00:00"): 2,
+        **{(None, f"{h}:00:00"): 1 for h in (10, 11, 12, 13)}}
