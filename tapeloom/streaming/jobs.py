@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom.functions.columns import Moment
 from tapeloom.operators.order_state import judge_actions, order_state
-from tapeloom.operators.touched import split_by_keys
+from tapeloom.operators.touched import keys_of, split_by_keys
 from tapeloom.plans.refresh import (
     current_prices,
     refresh_market_snapshot,
@@ -88,7 +88,7 @@ def start_silver(
     if name == "executions_silver":
         def handle(batch: DataFrame, batch_id: int) -> None:
             orders = read_table(batch.sparkSession, layout, "raw_orders")
-            parents = split_by_keys(orders, batch).touched
+            parents = split_by_keys(orders, keys_of(batch)).touched
             write_batch(executions_silver(batch, parents), layout, name, batch_id)
 
         return _each_batch(
@@ -140,12 +140,12 @@ def apply_batch(
     if base is None:
         base = versions(spark, layout, "live_orders")[-1]
         live = read_table(spark, layout, "live_orders", version=base)
-        touched = split_by_keys(live, actions).touched
+        touched = split_by_keys(live, keys_of(actions)).touched
         verdicts = judge_actions(touched, actions, current_prices(spark, layout), grain)
         verdicts.write.mode("overwrite").parquet(f"{judged_at}/base={base}")
     live = read_table(spark, layout, "live_orders", version=base)
     judged = spark.read.parquet(f"{judged_at}/base={base}")
-    touched, rest = split_by_keys(live, judged)
+    touched, rest = split_by_keys(live, keys_of(judged))
     after = order_state(touched, judged)
     write_batch(after.audit, layout, "order_actions", batch_id)
     write_batch(after.rejected, layout, "rejected_actions", batch_id)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators.order_state import judge_actions
-from tapeloom.operators.touched import split_by_keys
+from tapeloom.operators.touched import keys_of, split_by_keys
 from tapeloom.plans.gold import fills_per_order, order_analytics_gold
 from tapeloom.plans.silver import executions_silver, orders_silver
 from tapeloom.sources import layout as store
@@ -153,13 +153,13 @@ def test_a_micro_batch_does_not_shuffle_the_large_table(spark, tmp_path):
     store.write_table(many_orders(spark), place, "raw_orders")
     orders = store.read_table(spark, place, "raw_orders")
     batch = spark.createDataFrame([("O1",), ("O1",), ("O7",), ("none",), (None,)], "order_id string")
-    few = split_by_keys(orders, batch)
+    few = split_by_keys(orders, keys_of(batch))
     for part in few:
         plan = plan_of(part)
         assert "BroadcastHashJoin" in plan
         scan = plan[: plan.index("FileScan")]
         assert "Exchange hashpartitioning" not in scan
-    many = split_by_keys(orders, batch, limit=2)
+    many = split_by_keys(orders, keys_of(batch, limit=2))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "SortMergeJoin" in plan_of(many.touched)
