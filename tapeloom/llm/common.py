@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +20,25 @@ FILTER_BITS = 1 << 23
 NO_ID = 2**63 - 1
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="ship-"), f"{package.name}.zip")  # Spark copies it from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 

@@ -1,3 +1,52 @@
 """DuckDB twins of the registered queries that SQL can express."""
 
-SQL: dict[str, str] = {}
+WHITE = r"[\x20\x09-\x0D]"
+WORD = r"[^\x20\x09-\x0D]+"
+ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+QUALITY = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,
+         regexp_extract_all(coalesce(text, ''), '{WORD}') AS w
+  FROM documents),
+windows AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM d WHERE len(w) >= 3),
+counted AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS k FROM windows),
+again AS (
+  SELECT doc_id, count(*) AS n
+  FROM (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS p FROM counted WHERE k > 1) GROUP BY doc_id),
+base AS (
+  SELECT doc_id, t, lines, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(list_filter(lines, lambda x: regexp_matches(x, '{WORD}')))
+              - len(list_distinct(list_filter(lines, lambda x: regexp_matches(x, '{WORD}')))) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+         length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS upper,
+         length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS letters,
+         length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS beyond
+  FROM d LEFT JOIN again USING (doc_id)),
+failed AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (10 * n_symbols > n_words) AND NOT (word_chars < 2 * n_words OR word_chars > 15 * n_words)
+       AND NOT (2 * n_dup_lines > len(lines)) AND NOT (2 * upper > letters)
+       AND NOT (2 * (letters + beyond) < word_chars) AS kept
+FROM failed
+"""
+
+LINES = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^{WHITE}+|{WHITE}+$', '', 'g'), {ASCII_LOWER}) AS key FROM l),
+f AS (
+  SELECT key, min(doc_id) AS first_doc FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+j AS (SELECT k.*, first_doc IS NOT NULL AND first_doc <> doc_id AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+SQL: dict[str, str] = {
+    "op5_quality_rules": QUALITY,
+    "op6_line_dedup": LINES,
+}
