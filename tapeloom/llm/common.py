@@ -136,64 +136,63 @@ class Prefilter:
 # -- skew ------------------------------------------------------------------------------------
 
 
-def hot_keys(rows: DataFrame, key: str) -> DataFrame:
-    """(key, salts) of the keys with at least 1 / PARTS of the rows: PARTS rows at most."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return counts.where(F.col("n") * PARTS >= F.lit(total)).select(
-        key, F.ceil(F.col("n") * PARTS / F.lit(max(total, 1))).cast("int").alias("salts")
-    )
-
-
-def salted_join(left: DataFrame, right: DataFrame, key: str, spread: str, how: str = "inner") -> DataFrame:
-    """left joined with right, where right has one row a key; a hot key's rows on the left are
-    dealt out by a hash of spread, and its row on the right is repeated for each share.
-
-    The hot keys are broadcast; there are at most PARTS of them. left is read twice, so it
-    should be stored.
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread: str,
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    total: int | None = None,
+) -> DataFrame:
+    """left joined with right, which has a few rows a key; a hot key's rows on the left are dealt out
+    by a hash of the column spread, and its rows on the right are repeated for each share.
+
+    A key is hot if it has 1 / PARTS of the rows, so there are PARTS hot keys at most; they are
+    broadcast. counts (keys, n) are the rows of left by key, total their sum; what is not given
+    is counted, for which left should be stored.
     """
-    hot = F.broadcast(hot_keys(left.select(key), key))
-    dealt = left.join(hot, key, "left").withColumn(
-        "salt", F.pmod(F.xxhash64(spread), F.coalesce("salts", F.lit(1))).cast("int")
-    )
-    repeated = right.join(hot, key, "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1))
+    if counts is None:
+        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if total is None:
+        total = counts.agg(F.sum("n")).first()[0]
+    total = max(total or 0, 1)
+    hot = F.broadcast(
+        counts.where(F.col("n") * PARTS >= total).select(*keys, F.ceil(F.col("n") * PARTS / F.lit(total)).cast("int").alias("salts"))
     )
-    return dealt.drop("salts").join(repeated.drop("salts"), [key, "salt"], how).drop("salt")
+    shares = F.coalesce("salts", F.lit(1))
+    dealt = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64(spread), shares).cast("int"))
+    repeated = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), shares - 1)))
+    return dealt.drop("salts").join(repeated.drop("salts"), [*keys, "salt"], how).drop("salt")
 
 
 # -- components ------------------------------------------------------------------------------
 
 
-def _signature(edges: DataFrame):
+def _state(edges: DataFrame):
     return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of all ids in edges (u, v); component is the smallest id reachable.
 
-    Large-star and small-star steps in turn, until a round changes nothing. Each step moves
-    as many rows as there are edges; the result of each is stored, so a lost executor costs
-    one step. A hub's rows are dealt out by salted_join.
+    Large-star and small-star steps in turn, until a round changes nothing. A step moves about as
+    many rows as there are edges, its result is stored, and a hub's rows are dealt out.
     """
     edges = stored(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(),
-        "edges",
+        edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges"
     )
-    before = None
-    while (now := _signature(edges)) != before:
-        before = now
-        if not now[0]:
-            break
+    before, now = None, _state(edges)
+    while now[0] and now != before:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = salted_join(both, least, "u", "v").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.where("u <> v").distinct(), "large")
-        # after this step every edge points from the larger id to the smaller one
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = salted_join(down, least, "u", "v").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = small.unionByName(least.select("u", F.col("m").alias("v")))
-        edges = stored(small.where("u <> v").distinct(), "small")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = salted_join(both, least.drop("n"), ["u"], "v", counts=least.drop("m"), total=now[0])
+        large = large.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = stored(large.distinct(), "large")  # every edge points from the larger id to the smaller
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = salted_join(large, least.drop("n"), ["u"], "v", counts=least.drop("m"), total=now[0])
+        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "small")
+        before, now = now, _state(edges)
     nodes = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return nodes.unionByName(nodes.select(F.col("component").alias("id"), "component").distinct())

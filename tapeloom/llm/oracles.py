@@ -46,7 +46,27 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count(*) FILTER (gone)
 FROM j GROUP BY doc_id
 """
 
+NEAR = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {ASCII_LOWER}), '{WORD}') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, hash(list_aggregate(w[i:i + 4], 'string_agg', ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, edge.b FROM reach JOIN edge ON reach.b = edge.a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reach.b) AS component_id,
+       min(reach.b) = d.doc_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
 SQL: dict[str, str] = {
     "op5_quality_rules": QUALITY,
     "op6_line_dedup": LINES,
+    "op9_minhash": NEAR,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, line_dedup, quality_rules
+from tapeloom.llm import bpe, line_dedup, minhash, quality_rules
 from tapeloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduped(table(spark, sf_dir, "documents"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.minhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -32,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
+        "op9_minhash": op9_minhash,
         "op10_bpe": op10_bpe,
     }
 
