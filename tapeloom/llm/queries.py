@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, line_dedup, minhash, quality_rules
+from tapeloom.llm import bpe, decontaminate, line_dedup, minhash, quality_rules
 from tapeloom.llm.common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontaminate": op1_decontaminate,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op9_minhash": op9_minhash,
