@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import arrow
+
 # Fixed value: the pattern that cuts text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: The same for text of ASCII characters, where the classes are short; it takes half the time.
@@ -191,8 +193,7 @@ def encode(text: Column, path: str) -> Column:
         found = [s for part in _in_parts(column) for s in own.encode(part)]
         return pa.array([np.array(s.split(","), np.int32) if s else [] for s in found], pa.list_(pa.int32()))
 
-    ids.__annotations__ = {"column": pa.Array, "return": pa.Array}
-    return F.arrow_udf(ids, "array<int>")(text)
+    return arrow(ids, "array<int>")(text)
 
 
 def decode(ids: Column, path: str) -> Column:
@@ -202,8 +203,7 @@ def decode(ids: Column, path: str) -> Column:
         own = vocabulary(path)
         return pa.array([own.decode(x) if x else "" for part in _in_parts(column) for x in part], pa.string())
 
-    text.__annotations__ = {"column": pa.Array, "return": pa.Array}
-    return F.arrow_udf(text, "string")(ids)
+    return arrow(text, "string")(ids)
 
 
 def digests(text: Column, path: str) -> Column:
@@ -219,8 +219,7 @@ def digests(text: Column, path: str) -> Column:
                 rows.append((len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
         return pa.array([dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), r, strict=True)) for r in rows], kind)
 
-    digest.__annotations__ = {"column": pa.Array, "return": pa.Array}
-    return F.arrow_udf(digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
+    return arrow(digest, "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -5,9 +5,11 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -42,6 +44,13 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def arrow(function: Callable, returns: str) -> Callable:
+    """A function of Arrow arrays as a function of columns."""
+    code = function.__code__
+    function.__annotations__ = dict.fromkeys([*code.co_varnames[: code.co_argcount], "return"], pa.Array)
+    return F.arrow_udf(function, returns)
+
+
 # -- scratch ---------------------------------------------------------------------------------
 
 
@@ -124,13 +133,10 @@ class Prefilter:
 
     def column(self, key):
         """The same test as a column."""
-        import pyarrow as pa
-
         def may_hold(values: pa.Array) -> pa.Array:
             return pa.array(self.test(values.fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)))
 
-        may_hold.__annotations__ = {"values": pa.Array, "return": pa.Array}
-        return F.arrow_udf(may_hold, "boolean")(key)
+        return arrow(may_hold, "boolean")(key)
 
 
 # -- skew ------------------------------------------------------------------------------------

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tapeloom.llm.common import Prefilter, gram_hashes, salted_join, stored
+from tapeloom.llm.common import Prefilter, arrow, gram_hashes, salted_join, stored
 
 TOKEN = re.compile(r"\w+").findall
 MIN_MATCH = 6
@@ -141,9 +141,8 @@ def item_tokens(benchmark: DataFrame) -> DataFrame:
     def hashed(texts: pa.Array) -> pa.Array:
         return pa.array([token_hashes(x.as_py()).view(np.int64) for x in texts], kind)
 
-    hashed.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     items = _keyed(benchmark, "item_id", "text").dropDuplicates(["id", "digest"])
-    tokens = F.arrow_udf(hashed, "array<long>")("text")
+    tokens = arrow(hashed, "array<long>")("text")
     return items.select(F.col("id").alias("item_id"), F.col("digest").alias("item_digest"), tokens.alias("tokens"))
 
 
@@ -154,8 +153,7 @@ def item_seeds(items: DataFrame, k: int = MIN_MATCH) -> DataFrame:
     def seeds(tokens: pa.Array) -> pa.Array:
         return pa.array([gram_hashes(np.asarray(x.values).view(np.uint64), k).view(np.int64) for x in tokens], kind)
 
-    seeds.__annotations__ = {"tokens": pa.Array, "return": pa.Array}
-    rows = items.select("item_id", "item_digest", F.size("tokens").alias("n"), F.explode(F.arrow_udf(seeds, "array<long>")("tokens")).alias("seed"))
+    rows = items.select("item_id", "item_digest", F.size("tokens").alias("n"), F.explode(arrow(seeds, "array<long>")("tokens")).alias("seed"))
     return rows.groupBy("seed", "item_id", "item_digest", "n").agg(F.count(F.lit(1)).alias("places"))
 
 
@@ -197,8 +195,7 @@ def tiled(item: Column, doc: Column) -> Column:
             rows.append({"n_covered": sum(n for _, _, n in found), "n_tiles": len(found)})
         return pa.array(rows, kind)
 
-    tile.__annotations__ = {"items": pa.Array, "docs": pa.Array, "return": pa.Array}
-    return F.arrow_udf(tile, "n_covered long, n_tiles long")(item, doc)
+    return arrow(tile, "n_covered long, n_tiles long")(item, doc)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from tapeloom.llm.common import NO_ID, scratch, stored
+from tapeloom.llm.common import NO_ID, arrow, scratch, stored
 
 #: Runs of a level before they are merged into the next.
 FANOUT = 2
@@ -158,8 +158,7 @@ def without_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", t
             rows.append({"n_dropped": len(lines) - len(stay), "kept": b"\n".join(stay).decode()})
         return pa.array(rows, kind)
 
-    rebuilt.__annotations__ = {"texts": pa.Array, "lost": pa.Array, "return": pa.Array}
-    rebuild = F.arrow_udf(rebuilt, "n_dropped long, kept string")
+    rebuild = arrow(rebuilt, "n_dropped long, kept string")
     lost = dropped.groupBy("doc_id").agg(F.flatten(F.collect_list(F.array(*HASH))).alias("lost"))
     rows = docs.select(F.struct("*").alias("row")).select(
         "row", F.coalesce(F.col(f"row.{id_col}"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(f"row.{text}", F.lit("")).alias("whole")

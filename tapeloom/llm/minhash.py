@@ -41,6 +41,7 @@ from xxhash import xxh3_128_digest
 from tapeloom.llm.common import (
     NO_ID,
     Prefilter,
+    arrow,
     components,
     gram_hashes,
     lower_words,
@@ -144,12 +145,11 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(100 * shared >= percent * (len(both) - shared))
         return pa.array(out, pa.bool_())
 
-    similar.__annotations__ = {"left": pa.Array, "right": pa.Array, "return": pa.Array}
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     with_b = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("of_b")), "b")
     of_a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("of_a"))
     both = salted_join(with_b, of_a, ["a"], "b", counts=counts)
-    return both.where(F.arrow_udf(similar, "boolean")("of_a", "of_b")).select("a", "b")
+    return both.where(arrow(similar, "boolean")("of_a", "of_b")).select("a", "b")
 
 
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:

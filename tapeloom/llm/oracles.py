@@ -1,5 +1,7 @@
 """DuckDB twins of the registered queries that SQL can express."""
 
+from tapeloom.llm.queries import LISTED
+
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -65,7 +67,25 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(reach.b) AS
 FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.a = d.doc_id GROUP BY d.doc_id, n.n
 """
 
+URLS = rf"""
+WITH u AS (
+  SELECT page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), {ASCII_LOWER}) AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule, says) AS (
+  VALUES ('org/', 'allow'), ('example.org/es/', 'block'), ('example.org/en/1', 'block'), ('com/fr/', 'allow'), ('com/de/', 'block')),
+parts AS (SELECT rule, says, split_part(rule, '/', 1) AS h, substr(rule, strpos(rule, '/')) AS p FROM rules),
+fits AS (
+  SELECT page_id, rule, says FROM u JOIN parts ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) = 1),
+blocked AS (SELECT DISTINCT host || path AS key FROM u WHERE regexp_matches(host, '{{LISTED}}'))
+SELECT u.page_id, host, path, fits.rule AS rule,
+       CASE WHEN says IS NOT NULL THEN says WHEN blocked.key IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM u LEFT JOIN fits USING (page_id) LEFT JOIN blocked ON blocked.key = host || path
+"""
+
 SQL: dict[str, str] = {
+    "op2_url_filter": URLS.replace("{LISTED}", LISTED),
     "op5_quality_rules": QUALITY,
     "op6_line_dedup": LINES,
     "op9_minhash": NEAR,

@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tapeloom.llm.common import arrow
+
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
 SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(0x41, 0x5B))
@@ -166,8 +168,7 @@ def passes(text: Column, ordered: list[Rule]) -> Column:
     def judged(column: pa.Array) -> pa.Array:
         return pa.array([not any(r.rejects(t) for r in ordered) for t in (Text(x.as_py()) for x in column)], pa.bool_())
 
-    judged.__annotations__ = {"column": pa.Array, "return": pa.Array}
-    return F.arrow_udf(judged, "boolean")(text)
+    return arrow(judged, "boolean")(text)
 
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -189,8 +190,7 @@ def judgement(text: Column, ordered: list[Rule], min_words: int = 50, max_repeat
         names = [f.name for f in kind]
         return pa.array([dict(zip(names, r, strict=True)) for r in rows], kind)
 
-    judged.__annotations__ = {"column": pa.Array, "return": pa.Array}
-    return F.arrow_udf(judged, ", ".join(f"{n} long" for n in BASE) + ", base_failed boolean, kept boolean")(text)
+    return arrow(judged, ", ".join(f"{n} long" for n in BASE) + ", base_failed boolean, kept boolean")(text)
 
 
 def quality(docs: DataFrame) -> DataFrame:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tapeloom.llm import bpe, decontaminate, line_dedup, minhash, quality_rules
+from tapeloom.llm import bpe, decontaminate, line_dedup, minhash, quality_rules, url_filter
 from tapeloom.llm.common import table
 
 
@@ -20,6 +21,22 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Rules of the URL filter and their verdicts.
+RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+#: Hosts with a label that starts or ends with one of these words are listed with all their paths.
+LISTED = r"(^|[.])((adult|casino|free|spam|cheap|ads)-[^.]*|[^.]*-(bets|pills|track))([.]|$)"
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), RULES, F.col("host").rlike(LISTED))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -39,6 +56,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
+        "op2_url_filter": op2_url_filter,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op9_minhash": op9_minhash,
