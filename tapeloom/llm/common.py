@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 import zipfile
@@ -10,7 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -72,6 +73,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def chunked(df: DataFrame, key: str, order: list[str], label: str) -> DataFrame:
+    """df in ascending order of key and order, with the column chunk.
+
+    A key's rows lie in one chunk or in several that follow each other, so what runs along a key runs
+    along each chunk first, and then along one row for each of the key's chunks. Stored, since
+    the chunks have to stay as they are.
+    """
+    return stored(df.repartitionByRange(key, *order).withColumn("chunk", F.spark_partition_id()), label)
+
+
 # -- words and hashes ------------------------------------------------------------------------
 
 
@@ -167,7 +178,9 @@ def salted_join(
         counts.where(F.col("n") * PARTS >= total).select(*keys, F.ceil(F.col("n") * PARTS / F.lit(total)).cast("int").alias("salts"))
     )
     shares = F.coalesce("salts", F.lit(1))
-    dealt = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64(spread), shares).cast("int"))
+    known = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    over = F.when(known, shares).otherwise(F.lit(PARTS))  # rows without a key match nothing and go anywhere
+    dealt = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64(spread), over).cast("int"))
     repeated = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), shares - 1)))
     return dealt.drop("salts").join(repeated.drop("salts"), [*keys, "salt"], how).drop("salt")
 

@@ -1,6 +1,6 @@
 """DuckDB twins of the registered queries that SQL can express."""
 
-from tapeloom.llm.queries import LISTED
+from tapeloom.llm.queries import CRAWL, LISTED
 
 WHITE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -84,9 +84,63 @@ SELECT u.page_id, host, path, fits.rule AS rule,
 FROM u LEFT JOIN fits USING (page_id) LEFT JOIN blocked ON blocked.key = host || path
 """
 
+CHAT = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS position
+  FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+c AS (
+  SELECT conv_id, count(*) AS n, string_agg(concat(length(role), ':', role, length(text), ':', text), '' ORDER BY position) AS body
+  FROM t GROUP BY conv_id),
+u AS (SELECT body, n, min(conv_id) AS conv_id, count(*) AS n_copies FROM c GROUP BY body, n),
+kept AS (SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM u l WHERE l.n > u.n AND starts_with(l.body, u.body)))
+SELECT conv_id, position AS position, n AS n_turns, n_copies,
+       concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)) AS rendered
+FROM kept JOIN t USING (conv_id)
+"""
+
+REVISITS = """
+WITH records AS ({CRAWL}),
+parts AS (
+  SELECT *, regexp_replace(lower(regexp_extract(url, '://(?:[^/?#@]*@)?([^/?#]*)', 1)), ':(80|443)$', '') AS host,
+         regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(url, '://[^?#]*[?]([^#]*)', 1) AS query
+  FROM records),
+canonical AS (
+  SELECT * EXCLUDE (url),
+         array_to_string(list_sort(list_filter(string_split(query, '&'),
+           lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=|$)'))), '&') AS kept,
+         CASE WHEN contains(url, '://') THEN concat(host, CASE path WHEN '' THEN '/' ELSE path END,
+           CASE kept WHEN '' THEN '' ELSE concat('?', kept) END) END AS url
+  FROM parts),
+answered AS (
+  SELECT v.*, r.record_id AS answer, r.headers AS stored, r.payload_digest AS digest
+  FROM canonical v LEFT JOIN canonical r ON r.kind = 'response' AND r.status = 200 AND r.url = v.url AND r.ts < v.ts
+  WHERE v.kind = 'revisit'
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) = 1),
+judged AS (
+  SELECT *, CASE WHEN answer IS NULL THEN 'missing'
+    WHEN headers IS NULL THEN CASE WHEN digest = payload_digest THEN 'matched' ELSE 'changed' END
+    WHEN regexp_extract(stored, 'ETag: ("[^"]*")', 1) = regexp_extract(headers, 'etag: W/("[^"]*")', 1) THEN 'matched'
+    ELSE 'changed' END AS verdict
+  FROM answered)
+SELECT record_id, url, ts, answer, verdict AS status,
+       CASE WHEN verdict = 'matched' THEN concat_ws(chr(10),
+         'cache-control: ' || CASE WHEN headers IS NULL THEN 'max-age=60' ELSE regexp_extract(headers, 'cache-control: ([^\r\n]*)', 1) END,
+         'content-length: ' || regexp_extract(stored, 'Content-Length: ([0-9]+)', 1),
+         'content-type: text/html',
+         CASE WHEN headers IS NOT NULL THEN 'date: ' || regexp_extract(headers, 'date: (.*)$', 1) END,
+         'etag: ' || CASE WHEN headers IS NULL THEN regexp_extract(stored, 'ETag: ("[^"]*")', 1)
+                          ELSE regexp_extract(headers, 'etag: (W/"[^"]*")', 1) END,
+         'last-modified: ' || regexp_extract(stored, 'Last-Modified: ([^\r\n]*)', 1)) END AS headers,
+       CASE WHEN verdict = 'matched' THEN digest END AS payload_digest
+FROM judged
+"""
+
 SQL: dict[str, str] = {
     "op2_url_filter": URLS.replace("{LISTED}", LISTED),
+    "op3_chat_format": CHAT,
     "op5_quality_rules": QUALITY,
     "op6_line_dedup": LINES,
+    "op8_warc_revisits": REVISITS.replace("{CRAWL}", CRAWL),
     "op9_minhash": NEAR,
 }

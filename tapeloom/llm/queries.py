@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import bpe, decontaminate, line_dedup, minhash, quality_rules, url_filter
+from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, quality_rules, revisits, url_filter
 from tapeloom.llm.common import table
 
 
@@ -37,6 +37,10 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"), RULES, F.col("host").rlike(LISTED))
 
 
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -45,6 +49,32 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduped(table(spark, sf_dir, "documents"))
 
 
+#: A crawl log made of `pages`, as SQL for either engine: each page as fetched, some with status 404; a
+#: not-modified revisit a day later, of the URL with another fragment; for some an early revisit that
+#: nothing precedes. A seventh of the revisits have another entity tag.
+CRAWL = """
+SELECT concat('r-', page_id) AS record_id, 'response' AS kind, url, page_id * 10 AS ts,
+       CASE WHEN page_id % 11 = 0 THEN 404 ELSE 200 END AS status,
+       concat('ETag: "', substr(md5(html), 1, 16), '"', chr(13), chr(10), 'Last-Modified: day ', page_id % 1000, chr(13), chr(10),
+              'Content-Type: text/html', chr(13), chr(10), 'Content-Length: ', length(html), chr(13), chr(10),
+              'Cache-Control: max-age=60') AS headers,
+       md5(html) AS payload_digest
+FROM pages
+UNION ALL
+SELECT concat('v-', page_id), 'revisit', concat(url, '#again'), page_id * 10 + 86400, 304,
+       concat('etag: W/"', substr(CASE WHEN page_id % 7 = 0 THEN md5(url) ELSE md5(html) END, 1, 16), '"', chr(13), chr(10),
+              'content-length: 0', chr(13), chr(10), 'cache-control: max-age=', page_id % 100, chr(13), chr(10), 'date: day ', page_id),
+       NULL
+FROM pages
+UNION ALL
+SELECT concat('e-', page_id), 'revisit', url, page_id * 10 - 1, 304, NULL, md5(html) FROM pages WHERE page_id % 3 = 0
+"""
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return revisits.resolved(spark.sql(CRAWL.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages")))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.minhash_components(table(spark, sf_dir, "documents"))
 
@@ -57,8 +87,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
         "op2_url_filter": op2_url_filter,
+        "op3_chat_format": op3_chat_format,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
+        "op8_warc_revisits": op8_warc_revisits,
         "op9_minhash": op9_minhash,
         "op10_bpe": op10_bpe,
     }
