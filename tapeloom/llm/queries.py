@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, quality_rules, revisits, url_filter
+from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, url_filter
 from tapeloom.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduped(table(spark, sf_dir, "documents"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 #: A crawl log made of `pages`, as SQL for either engine: each page as fetched, some with status 404; a
 #: not-modified revisit a day later, of the URL with another fragment; for some an early revisit that
 #: nothing precedes. A seventh of the revisits have another entity tag.
@@ -90,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_chat_format": op3_chat_format,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
+        "op7_pii": op7_pii,
         "op8_warc_revisits": op8_warc_revisits,
         "op9_minhash": op9_minhash,
         "op10_bpe": op10_bpe,
