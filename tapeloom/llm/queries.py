@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, url_filter
+from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, substring, url_filter
 from tapeloom.llm.common import table
 
 
@@ -41,6 +41,10 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(table(spark, sf_dir, "conversations"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -92,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_decontaminate": op1_decontaminate,
         "op2_url_filter": op2_url_filter,
         "op3_chat_format": op3_chat_format,
+        "op4_substring_dedup": op4_substring_dedup,
         "op5_quality_rules": op5_quality_rules,
         "op6_line_dedup": op6_line_dedup,
         "op7_pii": op7_pii,
