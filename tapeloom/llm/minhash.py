@@ -161,6 +161,25 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(joined.select("doc_id", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
+def _possible(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of open_ (band, doc_id, n, comp) with e, the number of the text's shingles that some other
+    text of open_ has too: no intersection is larger. Texts with too few of them have no partner."""
+    kind = pa.schema([("doc_id", pa.int64()), ("h", pa.int64())])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+            ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([np.empty(0, np.int64), *own]))], schema=kind)
+
+    open_ = stored(open_, "open")
+    wanted = sets.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "shingles")
+    holders = wanted.mapInArrow(listed, "doc_id long, h long").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"))
+    alone = holders.where("k = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("q"))
+    rows = open_.join(alone, "doc_id", "left").withColumn("e", F.col("n") - F.coalesce("q", F.lit(0))).drop("q")
+    return stored(rows.where(100 * F.col("e") >= percent * F.col("n")), "possible")
+
+
 def linked(members: DataFrame, sets: DataFrame, percent: int, rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """(doc_id, comp) of members (band, doc_id, n, weight): the components of all verified pairs
     that share a bucket."""
@@ -179,10 +198,12 @@ def linked(members: DataFrame, sets: DataFrame, percent: int, rounds: int = PIVO
         open_ = salted_join(now, pivots, ["band"], "doc_id", counts=buckets.select("band", "n"))
         if i < rounds:
             pairs = open_.where(F.col("comp") != F.col("at")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
-        else:  # every pair of different components that share a bucket
-            left = stored(open_.select("band", "doc_id", "n", "comp"), "open")
-            right = left.select("band", *(F.col(c).alias(c + "_") for c in ("doc_id", "n", "comp")))
-            pairs = left.join(right, "band").where("doc_id < doc_id_ AND comp <> comp_").where(fits(F.col("n"), F.col("n_"))).select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
+        else:  # every pair of different components that share a bucket, unless it can't be similar
+            left = _possible(open_.select("band", "doc_id", "n", "comp"), sets, percent)
+            right = left.select("band", *(F.col(c).alias(c + "_") for c in ("doc_id", "n", "comp", "e")))
+            enough = (100 + percent) * F.least("e", "e_") >= percent * (F.col("n") + F.col("n_"))
+            pairs = left.join(right, "band").where("doc_id < doc_id_ AND comp <> comp_").where(enough)
+            pairs = pairs.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
         pairs = pairs.distinct()
         if checked is not None:
             turned = checked.select(F.col("b").alias("a"), F.col("a").alias("b"))
