@@ -1,0 +1,291 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, further columns."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, substring, url_filter
+from tapeloom.llm.common import components, salted_join, ship
+from tapeloom.llm.queries import tokenizer_path
+from tests.llm.test_queries import base_spans, brute_components, brute_tiles, check_spans, reference_tokens
+
+LONG = " ".join(f"w{i % 9973}" for i in range(60_000))
+#: Names that operators use inside, as columns of the input.
+CLASHES = ("row", "whole", "lost", "new", "salt", "salts", "n", "h", "pos", "band", "key", "digest", "tokens", "seeds", "spread", "id", "chunk")
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship(spark)
+
+
+def frame(spark, rows, extra=False):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for name in CLASHES if extra else ():
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def prose(seed, n=80):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+
+
+DOCS = [
+    (1, prose(1) + "\n" + prose(2)), (2, prose(1) + "\n" + prose(3)), (3, prose(1) + "\n" + prose(2)), (4, None), (5, ""), (6, " \n\t"),
+    (7, LONG), (7, LONG), (8, "one two"), (9, "one two"), (None, prose(4)), (10, "mail a.b@c.de or +1 (415) 555-0100\n" + prose(5)),
+]
+OPERATORS = {
+    "decontaminate": lambda df: decontaminate.leaks(df, df.select(F.col("doc_id").alias("item_id"), "text")),
+    "drop_leaked": lambda df: decontaminate.drop_leaked(df, df.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 10")),
+    "substring": substring.repeated_passages,
+    "quality": quality_rules.quality,
+    "keep_good": quality_rules.keep_good,
+    "lines": line_dedup.deduped,
+    "drop_lines": line_dedup.drop_lines,
+    "pii": pii.personal_data,
+    "minhash": minhash.minhash_components,
+    "drop_near": minhash.drop_near_duplicates,
+    "bpe": lambda df: bpe.token_digests(df, tokenizer_path()),
+}
+KEEP_COLUMNS = {"drop_leaked", "keep_good", "drop_lines", "drop_near"}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(spark, name):
+    assert OPERATORS[name](frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_further_columns_change_nothing(spark, name):
+    run = OPERATORS[name]
+    plain = run(frame(spark, DOCS))
+    wide = run(frame(spark, DOCS, extra=True))
+    if name in KEEP_COLUMNS:
+        assert wide.columns == ["doc_id", "text", *CLASHES]
+        wide = wide.select("doc_id", "text")
+    key = lambda r: tuple(map(repr, r))
+    assert sorted(plain.collect(), key=key) == sorted(wide.collect(), key=key)
+
+
+def test_quality_of_odd_texts(spark):
+    got = {r["doc_id"]: r for r in quality_rules.quality(frame(spark, [*DOCS[:10], (11, "a b c " * 40), (12, "!" * 5)])).collect()}
+    assert (got[4]["n_words"], got[4]["word_chars"], got[4]["base_failed"], got[4]["kept"]) == (0, 0, True, False)
+    assert got[7]["n_words"] == 60_000 and got[1]["kept"] and got[11]["n_repeat_words"] == 120 and got[11]["base_failed"]
+
+
+def test_rule_order_never_changes_the_verdict(spark):
+    df = frame(spark, DOCS)
+    rules = list(quality_rules.RULES)
+    assert {r["rule"] for r in quality_rules.measured(df).collect()} == {r.name for r in rules}
+    verdicts = [df.select(quality_rules.passes(F.col("text"), o)).collect() for o in (rules, rules[::-1], quality_rules.in_order(df))]
+    assert verdicts[0] == verdicts[1] == verdicts[2]
+
+
+def test_lines_stay_in_the_smallest_document_only(spark):
+    rows = [(3, "A shared line\nown three"), (1, "  a SHARED line \nown one"), (2, "short\na shared line"), (5, "short"), (6, None)]
+    kept = {r["doc_id"]: r["text"] for r in line_dedup.drop_lines(frame(spark, rows)).collect()}
+    assert kept == {1: "  a SHARED line \nown one", 2: "short", 3: "own three", 5: "short", 6: ""}
+
+
+@pytest.mark.parametrize("batches", [1, 3, 7])
+def test_batches_of_line_runs_give_the_same(spark, batches):
+    r = random.Random(batches)
+    rows = [(i, "\n".join(f"line number {r.randint(0, 60)}" for _ in range(6))) for i in range(80)]
+    first = {}
+    for i, text in rows:
+        for x in text.split("\n"):
+            first.setdefault(x, i)
+    got = {tuple(x) for x in line_dedup.dropped_lines(frame(spark, rows), batches=batches).groupBy("doc_id").count().collect()}
+    want = {(i, len({x for x in text.split("\n") if first[x] != i})) for i, text in rows}
+    assert got == {w for w in want if w[1]}
+
+
+def test_near_copies_of_a_large_group(spark):
+    """Heavily and lightly edited copies of one text: the components are those of all pairs."""
+    r = random.Random(7)
+    base = prose(9, 150).split()
+    texts = {}
+    for i in range(250):
+        words = list(base)
+        for _ in range(r.randint(0, 9)):
+            words[r.randrange(len(words))] = f"x{r.randint(0, 10**6)}"
+        texts[i] = " ".join(words)
+    texts |= {300 + i: prose(100 + i) for i in range(20)} | {400: "", 401: None, 402: "one two", 403: "ONE  two"}
+    got = {x["doc_id"]: x["component_id"] for x in minhash.minhash_components(frame(spark, list(texts.items()))).collect()}
+    assert got == brute_components(texts)
+
+
+def test_components_of_paths_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(300, 200), (200, 250), (7, 7)]
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(60)} | {200: 200, 250: 200, 300: 200}
+
+
+def test_salted_join_of_hot_and_missing_keys(spark):
+    left = spark.range(2000).select(F.when(F.col("id") % 3 > 0, F.lit(1)).when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    right = spark.createDataFrame([(1, "a"), (6, "b"), (6, "c")], "k long, x string")
+    same = lambda how: sorted(map(repr, left.join(right, "k", how).collect())) == sorted(map(repr, salted_join(left, right, ["k"], "v", how).collect()))
+    assert same("inner") and same("left")
+
+
+def test_tiles_agree_with_brute_force():
+    r = random.Random(3)
+    for _ in range(300):
+        v = r.choice([2, 5, 20])
+        item, doc = ([r.randint(1, v) for _ in range(r.randint(3, n))] for n in (30, 40))
+        a = r.randrange(len(item))
+        doc[5:5] = item[a : a + 12]
+        ours = decontaminate.tiles(item, doc, [True] * len(doc), 3)
+        assert sorted(ours) == sorted(brute_tiles(item, doc, 3))
+
+
+def test_reordered_items_are_leaks(spark):
+    words = prose(20, 40).split()
+    swapped = " ".join([*words[20:], "in", "between", *words[:20]])
+    docs = frame(spark, [(1, prose(1) + " " + swapped), (2, prose(2)), (3, " ".join(words[:15])), (None, " ".join(words))])
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "too short"), (9, None), (7, " ".join(words))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["n_covered"], r["n_tiles"]) for r in decontaminate.leaks(docs, items).collect()}
+    assert got == {(1, 7, 40, 2), (None, 7, 40, 1)}
+    assert {r["doc_id"] for r in decontaminate.drop_leaked(docs, items).collect()} == {2, 3}
+
+
+def test_a_passage_that_no_earlier_document_has_whole(spark):
+    """Two documents have one half each of what two later ones share; fuzzy, and in exact copies."""
+    p = prose(30, 70).split()
+    edited = [*p[:20], "other", *p[21:45], "words", "here", *p[45:]]
+    rows = [
+        (1, prose(31) + " " + " ".join(p[:35])), (2, " ".join(p[35:]) + " " + prose(32)), (3, prose(33) + " " + " ".join(p)),
+        (4, " ".join(edited) + " " + prose(34)), (5, prose(35)), (6, prose(36, 60)), (7, prose(36, 60)), (8, prose(36, 60)),
+    ]
+    got = {(r["doc_id"], r["partner_id"]): r for r in substring.repeated_passages(frame(spark, rows)).collect()}
+    assert {frozenset(k) for k in got} == {frozenset(x) for x in ((3, 4), (6, 7), (6, 8))}
+    assert (got[7, 6]["start"], got[7, 6]["stop"], got[7, 6]["matched"]) == (0, 60, 60)
+
+
+def test_chains_take_the_best_order():
+    import numpy as np
+
+    a, b = np.array([0, 5, 10, 12, 18, 24]), np.array([100, 105, 110, 7, 118, 124])
+    assert substring.chains(a, b) == [[0, 1, 2, 4, 5]]
+    assert substring.common_length([1, 2, 3, 4, 5], [9, 2, 4, 5, 7]) == 3
+
+
+BITS = [
+    "a@b.c", "x.y%z@q-r.co.uk", "_d@e.f", ".", "%", "1.2.3.4", "256.1.1.1", ".5.6.7.8", "001.002.3.4", "4111 1111 1111 1111",
+    "4111-1111-1111-1112", "+1 (415) 555-0100", "+12", "+4", "é😀", " ", "  ", "-", "@", "1", "23", "a", "\n", "(", ")", "+49 30 123456789  .",
+]
+
+
+def test_personal_data_in_mixtures(spark):
+    r = random.Random(5)
+    texts = {i: "".join(r.choice(BITS) for _ in range(r.randint(0, 25))) for i in range(800)}
+    texts |= {1000: None, 1001: "", 1002: "1 " * 20_000, 1003: "a." * 20_000, 1004: "x@" + "a." * 20_000 + "b", 1005: "9" * 3000 + ".1"}
+    for x in pii.personal_data(frame(spark, list(texts.items()))).collect():
+        check_spans(x, texts[x["doc_id"]])
+
+
+def test_contexts_discover_identifiers(spark):
+    rows = [(i, f"please call me at +1 (415) 555-{1000 + i} today {prose(i, 5)}") for i in range(12)]
+    rows += [(50, "please call me at 415/5550199 today"), (51, "order number was 415/5550198 then")]
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(spark, rows)).collect()}
+    assert got[50] == "phone:18:29" and got[51] == "" and base_spans(rows[12][1]) == []
+
+
+def test_bpe_of_odd_texts(spark):
+    r = random.Random(4)
+    pool = "aAbZ 1²İ\n\t\x0b\x1c\x85  's漢字😀՘₏Ɤ\U00010d40\U0003fc3b!?…<|endoftext|>_"
+    texts = {i: "".join(r.choice(pool) for _ in range(r.randint(0, 60))) for i in range(400)}
+    texts |= {900: None, 901: "<|endoftext|>" * 3, 902: "x<|endoftext|> y", 903: " " * 50 + "a", 904: "a" * 3000, 905: LONG}
+    got = {x["doc_id"]: tuple(x)[1:] for x in bpe.token_digests(frame(spark, list(texts.items())), tokenizer_path()).collect()}
+    assert got == reference_tokens(texts.items())
+    path = tokenizer_path()
+    df = frame(spark, list(texts.items()))
+    back = df.select("doc_id", bpe.decode(bpe.encode(F.col("text"), path), path).alias("t")).collect()
+    assert {x["doc_id"]: x["t"] for x in back} == {i: t or "" for i, t in texts.items()}
+
+
+@pytest.mark.parametrize("shard_bits", [1 << 27, 1 << 12])
+def test_cascade_is_exact_for_its_universe(spark, shard_bits):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 7 == 0).alias("listed"))
+    cascades = url_filter.build(keys, shard_bits)
+    assert len(cascades) == 1 or shard_bits == 1 << 12
+    got = url_filter.with_membership(keys.withColumnRenamed("listed", "want"), "key", cascades)
+    assert got.where("want <> listed").isEmpty() and got.count() == 3000
+
+
+def test_urls(spark):
+    rules = {"org/": "allow", "example.org/es/": "block", "com/de/": "block"}
+    urls = [None, "no scheme", "HTTP://A.Example.ORG/es/x?q#f", "http://xexample.org/es/", "http://b.com/de", "http://b.com/de/", "x://y://z/w", "http://spam-a.com"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("key", F.lit(1))
+    got = {r["page_id"]: tuple(r)[1:] for r in url_filter.judged(pages, rules, F.col("host").contains("spam")).collect()}
+    assert got == {
+        0: ("", "", None, "allow"), 1: ("", "", None, "allow"), 2: ("a.example.org", "/es/x", "example.org/es/", "block"),
+        3: ("xexample.org", "/es/", "org/", "allow"), 4: ("b.com", "/de", None, "allow"), 5: ("b.com", "/de/", "com/de/", "block"),
+        6: ("y:", "//z/w", None, "allow"), 7: ("spam-a.com", "", None, "block"),
+    }
+    assert url_filter.judged(pages.limit(0), rules, F.lit(True)).collect() == []
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def test_snapshots_collapse_into_the_longest(spark):
+    turns = [("user", "hi"), ("assistant", "hello"), ("user", None), ("assistant", "bye")]
+    rows = [(c, i, *t) for c, n in ((1, 1), (2, 2), (3, 4), (4, 4), (5, 3)) for i, t in enumerate(turns[:n])]
+    rows += [(6, 0, "user", "hi"), (6, 1, "assistant", "other"), (3, 0, "user", "hi"), (None, None, None, None), (7, 5, "user", "hi")]
+    df = spark.createDataFrame(rows, CHAT).withColumn("position", F.lit(0))
+    got = sorted(map(tuple, chat.formatted(df).collect()), key=repr)
+    of = lambda c: [r for r in got if r[0] == c]
+    assert {r[0] for r in got} == {3, 6, None}
+    assert "".join(r[4] for r in sorted(of(3))) == "".join(f"<|im_start|>{a}\n{b or ''}<|im_end|>\n" for a, b in turns)
+    assert of(3)[0][2:4] == (4, 2) and len(of(3)) == 4
+    assert chat.formatted(df.limit(0)).collect() == []
+
+
+def test_a_conversation_over_many_chunks(spark):
+    df = spark.range(5000).select(F.when(F.col("id") < 4000, 1).otherwise(F.col("id")).cast("long").alias("conv_id"), "id", F.lit("user").alias("role"))
+    df = df.select("conv_id", F.col("id").alias("turn"), "role", F.concat(F.lit("t"), F.col("id") % 1000).alias("text"))
+    got = chat.formatted(df).where("conv_id = 1").select("position").collect()
+    assert sorted(r[0] for r in got) == list(range(1, 4001))
+
+
+WARC = "record_id string, kind string, url string, ts long, status int, headers string, payload_digest string"
+
+
+def test_revisits(spark):
+    full = 'ETag: "a"\r\nContent-Type: text/html\r\nX: 1'
+    rows = [
+        ("r1", "response", "http://A.com/p?utm_source=f&b=2&a=1#x", 10, 200, full, "d1"),
+        ("r2", "response", "https://u@a.com:443/p?a=1&b=2", 20, 200, None, "d2"),
+        ("r3", "response", "http://a.com/p?a=1&b=2", 20, 500, None, "d3"),
+        ("r0", "response", "http://a.com/p?a=1&b=2", 20, 200, None, "d0"),
+        ("v1", "revisit", "http://a.com/p?b=2&a=1", 15, 304, 'etag: W/"a"\ncontent-type: x\nx: 2\nbad line', None),
+        ("v1", "revisit", "http://a.com/p?b=2&a=1", 15, 304, 'etag: W/"a"\ncontent-type: x\nx: 2\nbad line', None),
+        ("v2", "revisit", "http://a.com/p?b=2&a=1", 10, 304, None, None),
+        ("v3", "revisit", "http://a.com/p?b=2&a=1", 25, 304, None, "d2"),
+        ("v4", "revisit", "http://a.com/p?b=2&a=1", 25, 304, 'ETag: "a"', "other"),
+        ("v5", "revisit", None, 25, 304, None, None), ("v6", "revisit", "http://a.com", None, 304, None, None),
+        ("v7", "revisit", "http://a.com/p?b=2&a=1", 16, 304, 'ETag: "z"', None), ("v8", "revisit", "http://a.com/p?b=2&a=1", 26, 304, None, None),
+    ]
+    df = spark.createDataFrame(rows, WARC).withColumn("chunk", F.lit(0))
+    done = revisits.resolved(df)
+    got = {r["record_id"]: (r["answer"], r["status"], r["headers"], r["payload_digest"]) for r in done.collect()}
+    assert got == {
+        "v1": ("r1", "matched", 'content-type: text/html\netag: W/"a"\nx: 2', "d1"), "v2": (None, "missing", None, None),
+        "v3": ("r2", "matched", "", "d2"), "v4": ("r2", "changed", None, None), "v5": (None, "missing", None, None),
+        "v6": (None, "missing", None, None), "v7": ("r1", "changed", None, None), "v8": ("r2", "unverified", None, None),
+    }
+    bodies = df.where("kind = 'response'").select("record_id", F.concat(F.lit("body of "), "record_id").alias("body"))
+    assert {r["record_id"]: r["body"] for r in revisits.with_bodies(done, bodies).collect()} == {"v1": "body of r1", "v3": "body of r2"}
+    assert revisits.resolved(df.limit(0)).collect() == []
+
+
+def test_a_hot_url_over_many_chunks(spark):
+    r = spark.range(3000).select(
+        F.when(F.col("id") % 5 == 0, F.lit("response")).otherwise(F.lit("revisit")).alias("kind"), "id", F.concat(F.lit("i"), "id").alias("record_id")
+    )
+    df = r.select("record_id", "kind", F.lit("http://a.b/").alias("url"), F.col("id").alias("ts"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("headers"), F.lit("d").alias("payload_digest"))
+    got = revisits.resolved(df).select(F.col("ts") - F.substring("answer", 2, 9).cast("long"), "ts").collect()
+    assert len(got) == 2400 and all(d == t % 5 for d, t in got)
