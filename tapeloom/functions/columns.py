@@ -47,13 +47,18 @@ def scaled(value: Column | str, places: int) -> Column:
     return F.rint(_col(value) * 10**places).cast("long")
 
 
+def exact_sum(value: Column | str, places: int = 2) -> Column:
+    """Sum in units of the last place, as a decimal: a table may hold more than 2^63 of them."""
+    return F.sum(scaled(value, places).cast("decimal(28,0)"))
+
+
 def sum_of_rounded(value: Column | str, places: int = 2) -> Column:
-    return F.sum(scaled(value, places)) / 10**places
+    return exact_sum(value, places).cast("double") / 10**places
 
 
 def mean_of_rounded(value: Column | str, places: int = 2) -> Column:
     """Mean rounded half away from zero to the precision of its input; NULL over nothing."""
-    total, n = F.sum(scaled(value, places)), F.count(_col(value))
+    total, n = exact_sum(value, places), F.count(_col(value))
     magnitude = div(2 * F.abs(total) + n, 2 * n)
     return F.when(n > 0, F.when(total < 0, -magnitude).otherwise(magnitude) / 10**places)
 

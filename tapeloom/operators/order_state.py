@@ -9,34 +9,39 @@ An action is judged by what precedes it for the same order, in the order of
   so the size or price before an action is the last such value before it.
 
 Both are prefix expressions over windows. One order may own a large share of all
-actions, so no window over actions spans an order: actions are split into slices of one
-order and one day, and into slices of one second on the days an order is hot. What a
-slice inherits comes from the summaries of the earlier slices of its order.
+actions, so no window over actions spans an order: actions are sorted by order, time and id
+over all tasks, and a slice is what one task has of an order, however its actions spread over
+time. What a slice inherits comes from the summaries of the earlier slices of its order, of which
+there are no more than tasks. The sliced actions are stored once and read twice.
+
+An action that is delivered again as it was counts once. An action whose id was used by an
+earlier, different action is rejected.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import bps_from, json_object, or_default
 from tapeloom.operators.quality import with_defaults
 from tapeloom.schemas import ACTION_TYPES, CLOSED_STATUSES, TABLES
+from tapeloom.session import scratch_dir
 
 # Why an action is rejected, with the code its caller sees.
 REJECTIONS = {
+    "REPEATED_ID": 409,
     "UNKNOWN_ACTION": 404,
     "BAD_VALUE": 400,
+    "BAD_HEDGE": 422,
     "UNKNOWN_ORDER": 404,
     "CLOSED": 400,
     "NO_PRICE": 500,
 }
 ACCEPTED = "OK"
 
-MAX_SLICE_ROWS = 1_000_000
-
 _SLICE = ["order_id", "slice"]
 
 
@@ -51,57 +56,61 @@ def _before(*partition: str, order: tuple[str, ...]):
     return Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _with_slices(actions: DataFrame, grain: str, max_rows: int) -> DataFrame:
-    """Actions with the start of their slice.
-
-    Hot are the (order, grain) pairs with more than `max_rows` actions. Counting
-    combines on the map side, and there are at most total / max_rows such pairs, which
-    bounds what is broadcast.
-    """
-    coarse = F.date_trunc(grain, "ts")
-    hot = (
-        actions.groupBy(F.col("order_id").alias("hot_order"), coarse.alias("hot_slice"))
-        .count()
-        .where(F.col("count") > max_rows)
-        .select("hot_order", "hot_slice", F.lit(True).alias("is_hot"))
-    )
-    here = F.col("order_id").eqNullSafe(F.col("hot_order")) & (F.col("slice") == F.col("hot_slice"))
+def _once(actions: DataFrame) -> DataFrame:
+    """Distinct actions; `acts` is the type of those whose id no earlier action has."""
+    content = F.xxhash64(*TABLES["actions"].columns)
+    same_id = Window.partitionBy("action_id", F.when(F.col("action_id").isNull(), content)).orderBy("ts", content)
     return (
-        actions.withColumn("slice", coarse)
-        .join(F.broadcast(hot), here, "left")
-        .withColumn(
-            "slice", F.when(F.col("is_hot"), F.date_trunc("second", "ts")).otherwise(F.col("slice"))
-        )
-        .drop("hot_order", "hot_slice", "is_hot")
+        actions.select(*TABLES["actions"].columns).distinct()
+        .withColumn("is_repeated", F.row_number().over(same_id) > 1)
+        .withColumn("acts", F.when(~F.col("is_repeated"), F.col("action_type")))
     )
 
 
-def _sliced(actions: DataFrame, grain: str, max_rows: int) -> DataFrame:
+def _with_slices(actions: DataFrame) -> DataFrame:
+    """Actions with the number of their slice, which ascends along an order."""
+    ordered = actions.repartitionByRange("order_id", "ts", "action_id")
+    return ordered.withColumn("slice", F.spark_partition_id())
+
+
+def _sliced(actions: DataFrame) -> DataFrame:
     """Actions with their position, and what precedes each inside its own slice."""
-    kind = F.col("action_type")
+    kind = F.col("acts")
     earlier = _before(*_SLICE, order=("ts", "action_id"))
     open_size = (kind == "ADJUST_SIZE") & (F.col("qty") > 0) & ~F.col("cancel_seen")
     open_price = (kind == "ADJUST_PRICE") & (F.col("price_limit") > 0) & ~F.col("cancel_seen")
     dated = with_defaults(actions, {**TABLES["actions"].defaults, "ts": F.current_timestamp()})
-    return (
-        _with_slices(dated, grain, max_rows)
+    sliced = (
+        _with_slices(_once(dated))
         .withColumn("seq", F.struct("ts", "action_id"))
         .withColumn("cancel_seen", F.coalesce(F.max(kind == "CANCEL").over(earlier), F.lit(False)))
         .withColumns({
             "size_value": F.when(open_size, F.col("qty")),
             "price_value": F.when(open_price, F.col("price_limit")),
-            "hedge_value": F.when(kind == "HEDGE", F.col("action_id")),
+            "hedge_value": F.when((kind == "HEDGE") & _hedge_is_whole(), F.col("action_id")),
         })
         .withColumns({
             f"{name}_seen": F.last(f"{name}_value", ignorenulls=True).over(earlier)
             for name in ("size", "price", "hedge")
         })
     )
+    path = scratch_dir(actions.sparkSession, "sliced-actions")
+    sliced.write.parquet(path)
+    return actions.sparkSession.read.schema(sliced.schema).parquet(path)
+
+
+def _hedge_is_whole() -> Column:
+    """A hedge names instrument, side, size and type."""
+    whole = F.lit(True)
+    for name in TABLES["hedge_requests"].not_null:
+        if name != "parent_order_id":
+            whole = whole & F.col(name).isNotNull()
+    return whole
 
 
 def _inherited(sliced: DataFrame, live: DataFrame, prices: DataFrame) -> DataFrame:
     """Per slice: the order's initial state, what earlier slices left, when it closes."""
-    kind, seq = F.col("action_type"), F.col("seq")
+    kind, seq = F.col("acts"), F.col("seq")
     summaries = sliced.groupBy(*_SLICE).agg(
         F.max(kind == "CANCEL").alias("has_cancel"),
         F.min(F.when(kind == "CANCEL", seq)).alias("cancel_seq"),
@@ -160,18 +169,13 @@ def judge_actions(
     live_orders: DataFrame,
     actions: DataFrame,
     snapshot: DataFrame,
-    grain: str = "day",
-    max_rows: int = MAX_SLICE_ROWS,
 ) -> DataFrame:
     """Every action with its verdict, the status of its order before it and the value it replaces.
 
     qty_before is given for size actions, price_before for price actions and
     executions, hedge_before for hedges, filled_before for executions.
-
-    The actions of one order are split by `grain` (hour, day, month), and by the second
-    where one slice would hold more than `max_rows` actions.
     """
-    sliced = _sliced(actions, grain, max_rows)
+    sliced = _sliced(actions)
     before = sliced.join(_inherited(sliced, live_orders, snapshot), _SLICE, "left")
     kind, seq = F.col("action_type"), F.col("seq")
     live_here = F.col("open0") & ~F.col("cancelled_earlier")
@@ -197,8 +201,10 @@ def judge_actions(
         })
         .withColumn(
             "verdict",
-            F.when(~F.coalesce(kind.isin(*ACTION_TYPES), F.lit(False)), "UNKNOWN_ACTION")
+            F.when(F.col("is_repeated"), "REPEATED_ID")
+            .when(~F.coalesce(kind.isin(*ACTION_TYPES), F.lit(False)), "UNKNOWN_ACTION")
             .when(bad, "BAD_VALUE")
+            .when((kind == "HEDGE") & ~_hedge_is_whole(), "BAD_HEDGE")
             .when(F.col("known").isNull(), "UNKNOWN_ORDER")
             .when(closed, "CLOSED")
             .when(unpriced, "NO_PRICE")
@@ -334,15 +340,13 @@ def apply_order_actions(
     live_orders: DataFrame,
     actions: DataFrame,
     snapshot: DataFrame,
-    grain: str = "day",
-    max_rows: int = MAX_SLICE_ROWS,
 ) -> OrderState:
     """Live orders, audit, rejections and hedge requests after a batch of actions.
 
     All four come from the same verdicts. Store `judge_actions` first and pass it to
     `order_state` where all four are written.
     """
-    return order_state(live_orders, judge_actions(live_orders, actions, snapshot, grain, max_rows))
+    return order_state(live_orders, judge_actions(live_orders, actions, snapshot))
 
 
 def audit_trail(audit: DataFrame, orders: DataFrame) -> DataFrame:

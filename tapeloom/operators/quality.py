@@ -69,25 +69,25 @@ def constraint_violations(
     checks = {f"not_null({c})": F.col(c).isNull() for c in not_null}
     for column, allowed in (domains or {}).items():
         checks[f"check({column})"] = ~F.col(column).isin(*allowed)
-    results = []
-    if checks:
-        row = df.agg(*[F.count_if(bad).alias(f"check_{i}") for i, bad in enumerate(checks.values())])
-        results.append(row.select(F.inline(F.array(*[
-            F.struct(F.lit(name).alias("constraint"), F.col(f"check_{i}").alias("violations"))
-            for i, name in enumerate(checks)
-        ]))))
     keys = list(keys)
-    if keys:
-        repeated = df.groupBy(*keys).count().where("count > 1")
-        results.append(repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(f"unique({', '.join(keys)})").alias("constraint"), "violations"
-        ))
-    if not results:
+    if not keys and not checks:
         raise ValueError("no constraint given")
-    out = results[0]
-    for other in results[1:]:
-        out = out.unionByName(other)
-    return out
+    counted = {name: F.count_if(bad) for name, bad in checks.items()}
+    names = [f"check_{i}" for i in range(len(checks))]
+    if keys:  # counted within each key, then summed up, so the rows are read once
+        per_key = df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), *[c.alias(n) for n, c in zip(names, counted.values(), strict=True)]
+        )
+        totals = [F.coalesce(F.sum(n), F.lit(0)) for n in names] + [F.count_if(F.col("n") > 1)]
+        names.append("repeated")
+        row = per_key.agg(*[t.alias(n) for n, t in zip(names, totals, strict=True)])
+    else:
+        row = df.agg(*[c.alias(n) for n, c in zip(names, counted.values(), strict=True)])
+    labels = [*checks, *([f"unique({', '.join(keys)})"] if keys else [])]
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(label).alias("constraint"), F.col(n).alias("violations"))
+        for label, n in zip(labels, names, strict=True)
+    ])))
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:

@@ -25,15 +25,17 @@ def merge_upsert(
     """Target after the source is merged in: update on a key match, else insert.
 
     Only `update_cols` of a matched row change. Inserted rows take `defaults` for
-    missing values. A key that occurs twice in the source is an error. The source is
-    grouped on the same keys that the full outer join uses, so it is shuffled once.
+    missing values. A key that occurs twice in the source is an error: keys are counted by a
+    hash aggregate, whose shuffle the join with the target goes on from.
     """
     keys, update_cols = list(keys), list(update_cols)
     source = with_defaults(source, defaults or {})
     incoming = [c for c in source.columns if c not in keys]
-    once = source.groupBy(*keys).agg(
-        F.first(F.struct(*incoming)).alias("s"), F.count(F.lit(1)).alias("n")
-    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"counted_{k}"))
+    counts = source.groupBy(*[F.col(k).alias(f"counted_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("n"))
+    once = source.select(*keys, F.struct(*incoming).alias("s")).join(counts, same).select(*keys, "s", "n")
     kept = [c for c in target.columns if c not in keys]
     current = target.select(*keys, F.struct(*kept).alias("t"))
     repeated = F.raise_error(F.concat(

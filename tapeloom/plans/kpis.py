@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import (
     category,
+    exact_sum,
     half_up,
     number_or_zero,
-    scaled,
     slippage_grade,
     slippage_side,
     sum_of_rounded,
@@ -20,13 +20,13 @@ from tapeloom.schemas import OPEN_STATUSES, STATUSES
 
 def _total(value: str, places: int) -> Column:
     """Sum in units of the last place; missing values count as zero."""
-    return F.coalesce(F.sum(scaled(number_or_zero(value), places)), F.lit(0))
+    return F.coalesce(exact_sum(number_or_zero(value), places), F.lit(0).cast("decimal(38,0)"))
 
 
 def _mean(value: str, places: int = 2) -> Column:
     """Unrounded mean of a rounded value, independent of the order of summation."""
     n = F.count(value)
-    return F.when(n > 0, F.sum(scaled(value, places)) / (n * 10**places))
+    return F.when(n > 0, exact_sum(value, places).cast("double") / (n * 10**places))
 
 
 def kpi_row(orders: DataFrame, analytics: DataFrame, limit: tuple[int, int] | None = None) -> DataFrame:

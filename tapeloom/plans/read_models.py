@@ -63,8 +63,8 @@ def execution_listing(analytics: DataFrame) -> DataFrame:
     return newest(execution_rows(analytics))
 
 
-def analytics_feed(analytics: DataFrame, limit: int | None = 200) -> DataFrame:
-    """The newest analytics rows, as the application loads them."""
+def analytics_feed(analytics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Analytics rows as the application loads them, newest first; `limit` is the size of a page."""
     return newest(analytics.select(
         "order_id", "trader_id", "etf_ticker", "direction", "qty", "filled_qty", "remaining_qty",
         "fill_rate", "avg_slippage_bps", "avg_fill_price", "notional_value",
@@ -77,7 +77,7 @@ def order_blotter(
     orders: DataFrame,
     statuses: str | Sequence[str] | None = None,
     ticker: str | None = None,
-    limit: int | None = 100,
+    limit: int | None = None,
 ) -> DataFrame:
     """Newest orders, optionally of some statuses (a list or comma separated) and one ticker."""
     if statuses:
@@ -88,7 +88,7 @@ def order_blotter(
     return newest(orders, limit)
 
 
-def blotter_fallback(analytics: DataFrame, limit: int | None = 100) -> DataFrame:
+def blotter_fallback(analytics: DataFrame, limit: int | None = None) -> DataFrame:
     """The blotter from gold, for when there is no live order table."""
     return newest(analytics.select(
         "order_id", "etf_ticker", "trader_id", "direction", "qty",
@@ -103,19 +103,24 @@ def blotter_enriched(orders: DataFrame, analytics: DataFrame) -> DataFrame:
     """Blotter rows with fill percentage, bar width, slippage band and whether they can be acted on.
 
     Of several analytics rows for one order the last of the newest-first list, that
-    is the oldest, is shown.
+    is the oldest, is shown; of equally old ones the smallest values. Both aggregates hash,
+    and the second needs no shuffle.
     """
-    shown = analytics.groupBy("order_id").agg(
-        F.min_by(F.struct("fill_rate", "avg_slippage_bps"), "created_at").alias("a")
+    values = ("fill_rate", "avg_slippage_bps")
+    oldest = analytics.repartition("order_id").groupBy("order_id", "created_at").agg(
+        *[F.min(v).alias(v) for v in values]
     )
-    a = F.col("a")
+    shown = oldest.groupBy("order_id").agg(
+        *[F.min_by(v, "created_at").alias(f"shown_{v}") for v in values], F.lit(True).alias("has_analytics")
+    )
+    a = {v: F.col(f"shown_{v}") for v in values}
     own = F.when(
         (F.col("filled_qty") != 0) & (F.col("qty") != 0), F.col("filled_qty") / F.col("qty") * 100
     ).otherwise(0.0)
     return (
         orders.join(shown, "order_id", "left")
         .withColumns({
-            "fill_pct": F.when(a.isNotNull(), a["fill_rate"] * 100).otherwise(own),
+            "fill_pct": F.when(F.col("has_analytics"), a["fill_rate"] * 100).otherwise(own),
             "slippage_bps": a["avg_slippage_bps"],
         })
         .select(
@@ -195,9 +200,12 @@ def market_ticker(snapshot: DataFrame) -> DataFrame:
 def latest_raw_tick(ticks: DataFrame) -> DataFrame:
     """Latest bronze tick per ticker; event_id settles equal times.
 
-    An aggregate rather than a ranking: every task keeps one row per ticker before
-    the shuffle, however many ticks a ticker has.
+    The last time per ticker is a hash aggregate that keeps one small row per ticker and
+    task. Ties are settled on the ticks of that time only.
     """
+    last = ticks.groupBy(F.col("ticker").alias("at_ticker")).agg(F.max("event_time").alias("at_time"))
+    here = F.col("ticker").eqNullSafe(F.col("at_ticker")) & F.col("event_time").eqNullSafe(F.col("at_time"))
+    ticks = ticks.join(last, here)
     shown = F.struct("last_price", "bid", "ask", "volume", "cum_volume", "vwap", "event_time")
     return (
         ticks.groupBy("ticker")
@@ -225,7 +233,7 @@ def price_history(
     as_of: Moment = None,
     ticker: str = "SPY",
     hours: int = 8,
-    limit: int | None = 500,
+    limit: int | None = None,
     latest: bool = False,
 ) -> DataFrame:
     """One ticker over the trailing hours, ascending.
@@ -282,9 +290,10 @@ def fill_vs_notional(analytics: DataFrame) -> DataFrame:
     )
 
 
-def fill_vs_slippage(analytics: DataFrame, limit: int | None = 80) -> DataFrame:
-    """Points of fill rate against slippage of the newest orders that have a fill rate."""
-    return newest(analytics.where(F.col("fill_rate").isNotNull()), limit).select(
+def fill_vs_slippage(analytics: DataFrame, limit: int | None = None) -> DataFrame:
+    """Points of fill rate against slippage of the orders that have a fill rate; of the newest, if limited."""
+    rated = analytics.where(F.col("fill_rate").isNotNull())
+    return (rated if limit is None else newest(rated, limit)).select(
         "order_id",
         half_up_value(F.col("fill_rate") * 100).alias("x"),
         half_up_value(F.col("avg_slippage_bps")).alias("y"),

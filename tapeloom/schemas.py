@@ -40,6 +40,12 @@ class Table:
     def schema(self) -> StructType:
         return StructType.fromDDL(self.ddl)
 
+    @property
+    def required(self) -> list[str]:
+        """Columns that may not be missing."""
+        declared = [c.split() for c in self.ddl.split(", ")]
+        return [c[0] for c in declared if c[2:] == ["not", "null"] or c[0] in self.not_null]
+
     @property
     def columns(self) -> list[str]:
         return self.schema.names

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,14 +32,9 @@ def tune(spark: SparkSession, streaming: bool = False) -> SparkSession:
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder under the cluster's shared checkpoint directory.
-
-    Only a local session without that setting falls back to the machine's own
-    temporary folder.
-    """
+    """A new folder under the cluster's shared checkpoint directory, or without one under the
+    warehouse, which all executors reach too."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="tapeloom-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

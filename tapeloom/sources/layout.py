@@ -150,13 +150,23 @@ def write_batch(df: DataFrame, layout: Layout, name: str, batch: int) -> None:
 
 
 def write_version(
-    df: DataFrame, layout: Layout, name: str, version: int | None = None
+    df: DataFrame, layout: Layout, name: str, version: int | None = None, writer: str = ""
 ) -> int:
-    """Write a complete new version beside the old ones; readers switch once it is whole."""
+    """Write a complete new version beside the old ones; readers switch once it is whole.
+
+    A version that exists is only replaced by its own writer, which then retries.
+    """
     if version is None:
         known = versions(df.sparkSession, layout, name)
         version = known[-1] + 1 if known else 0
-    conform(df, name).write.mode("overwrite").parquet(layout.version(name, version))
+    elif exists(df.sparkSession, f"{(path := layout.version(name, version))}/_SUCCESS"):
+        made_by = f"{path}/_writer"
+        if not exists(df.sparkSession, made_by) or df.sparkSession.read.text(made_by).first()[0] != writer:
+            raise RuntimeError(f"version {version} of {name} was made by another writer")
+    path = layout.version(name, version)
+    conform(df, name).write.mode("overwrite").parquet(path)
+    if writer:
+        df.sparkSession.createDataFrame([(writer,)], "value string").write.text(f"{path}/_writer")
     return version
 
 

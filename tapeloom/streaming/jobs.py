@@ -1,11 +1,14 @@
 """Streams over the bronze tables and the order actions.
 
 Every sink is idempotent: a micro-batch owns one folder, which a retry replaces, and a
-new version of the live orders is derived from the version that the batch first saw.
+new version of the live orders is derived from the version that the batch first saw. The
+jobs delete all but the newest versions of what they write.
 """
 
 from __future__ import annotations
 
+import json
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +28,7 @@ from tapeloom.session import tune
 from tapeloom.sources.layout import (
     Layout,
     _folder,
+    drop_old_versions,
     exists,
     read_stream,
     read_table,
@@ -110,9 +114,12 @@ def start_gold(
         session = batch.sparkSession
         refresh_order_analytics(session, layout, batch)
         refresh_trading_performance(session, layout)
+        for name in ("order_analytics_gold", "trading_performance_gold"):
+            drop_old_versions(session, layout, name)
 
     def ticks_changed(batch: DataFrame, batch_id: int) -> None:
         refresh_market_snapshot(batch.sparkSession, layout, batch, as_of)
+        drop_old_versions(batch.sparkSession, layout, "market_snapshot_gold")
 
     return [
         _each_batch(touched, layout, "order_gold", trigger, orders_changed),
@@ -123,14 +130,16 @@ def start_gold(
 
 
 def apply_batch(
-    spark: SparkSession, layout: Layout, actions: DataFrame, batch_id: int, grain: str = "day"
+    spark: SparkSession, layout: Layout, actions: DataFrame, batch_id: int, query: str = ""
 ) -> None:
     """Apply one batch of actions to the stored live orders.
 
-    Verdicts are stored first, in a folder that names the version they were judged
-    against. A retry finds that folder and goes on from the same version. Orders
-    without actions are copied from it without a shuffle.
+    Verdicts are stored first, in a folder that names the query, the batch and the version
+    they were judged against. A retry finds that folder and goes on from the same version;
+    a query with a new checkpoint is another one. The new version is refused if some other
+    writer made it. Orders without actions are copied without a shuffle.
     """
+    batch_id += zlib.crc32(query.encode()) << 31 if query else 0
     judged_at = f"{layout.path('judged_actions')}/batch={batch_id}"
     base = next(
         (v for v in versions(spark, layout, "live_orders")
@@ -141,7 +150,7 @@ def apply_batch(
         base = versions(spark, layout, "live_orders")[-1]
         live = read_table(spark, layout, "live_orders", version=base)
         touched = split_by_keys(live, keys_of(actions)).touched
-        verdicts = judge_actions(touched, actions, current_prices(spark, layout), grain)
+        verdicts = judge_actions(touched, actions, current_prices(spark, layout))
         verdicts.write.mode("overwrite").parquet(f"{judged_at}/base={base}")
     live = read_table(spark, layout, "live_orders", version=base)
     judged = spark.read.parquet(f"{judged_at}/base={base}")
@@ -150,7 +159,8 @@ def apply_batch(
     write_batch(after.audit, layout, "order_actions", batch_id)
     write_batch(after.rejected, layout, "rejected_actions", batch_id)
     write_batch(after.hedge_requests, layout, "hedge_requests", batch_id)
-    write_version(rest.unionByName(after.live_orders), layout, "live_orders", base + 1)
+    after_all = rest.unionByName(after.live_orders)
+    write_version(after_all, layout, "live_orders", base + 1, writer=f"{query}/{batch_id}")
 
 
 def start_actions(
@@ -158,7 +168,6 @@ def start_actions(
     layout: Layout,
     trigger: Trigger = ONCE,
     max_files: int | None = None,
-    grain: str = "day",
 ) -> StreamingQuery:
     """Apply trader actions as they arrive; a live order table must exist.
 
@@ -167,7 +176,10 @@ def start_actions(
     tune(spark, streaming=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch.sparkSession, layout, batch, batch_id, grain)
+        session = batch.sparkSession
+        metadata = session.read.text(f"{layout.checkpoint('order_actions')}/metadata").first()[0]
+        apply_batch(session, layout, batch, batch_id, json.loads(metadata)["id"])
+        drop_old_versions(session, layout, "live_orders")
 
     return _each_batch(
         _source(spark, layout, "actions", max_files), layout, "order_actions", trigger, handle

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 
+from tapeloom.schemas import TABLES
 from tapeloom.sources.desk_views import MARKET_AS_OF, ORDERS_AS_OF, VIEWS, duckdb_view
 from tapeloom.workload.queries import LAST_SYNC
 
@@ -235,10 +236,29 @@ _STEPS: dict[str, str] = {
     "history": f"""
         SELECT event_time, last_price, bid, ask, volume, vwap FROM raw_market_data
         WHERE ticker = 'SPY' AND event_time >= {_MARKET_NOW} - INTERVAL 8 HOUR
-        ORDER BY event_time, event_id LIMIT 500""",
+        ORDER BY event_time, event_id""",
 }
 
 
+_OPENED_AUDIT = """
+        SELECT action_id, order_id, action_type, trader_id, ts,
+          CASE WHEN action_type IN ('CANCEL', 'EXECUTE') THEN status_before END AS old_status,
+          CASE WHEN action_type = 'EXECUTE' THEN filled0 END AS old_filled_qty,
+          CASE WHEN action_type = 'ADJUST_SIZE' THEN qty_before END AS old_qty,
+          CASE WHEN action_type = 'ADJUST_PRICE' AND price_before <> 0 THEN price_before END
+            AS old_price_limit,
+          CASE WHEN action_type = 'HEDGE' THEN coalesce(CAST(hedge_before AS VARCHAR), hedge0) END
+            AS old_assigned_hedge_id,
+          CASE action_type WHEN 'CANCEL' THEN 'CANCELLED' WHEN 'EXECUTE' THEN 'FILLED' END AS new_status,
+          CASE WHEN action_type = 'EXECUTE' THEN exec_price END AS new_fill_price,
+          CASE WHEN action_type = 'EXECUTE' THEN exec_slippage END AS new_slippage_bps,
+          CASE WHEN action_type IN ('ADJUST_SIZE', 'HEDGE') THEN qty END AS new_qty,
+          CASE WHEN action_type = 'ADJUST_PRICE' THEN price_limit END AS new_price_limit,
+          CASE WHEN action_type = 'HEDGE' THEN action_id END AS new_hedge_id,
+          CASE WHEN action_type = 'HEDGE' THEN instrument_id END AS new_instrument_id
+        FROM accepted"""
+
+
 def _metrics(table: str, rows: str, rules: dict[str, str]) -> list[str]:
     kept = " AND ".join(f"({p})" for p in rules.values())
     return [
@@ -250,23 +270,21 @@ def _metrics(table: str, rows: str, rules: dict[str, str]) -> list[str]:
     ]
 
 
-def _violations(table: str, rows: str, keys: str, not_null: list[str], check: str = "") -> list[str]:
-    parts = [
-        f"""SELECT '{table}' AS table_name, 'not_null({c})' AS "constraint",
-          count(*) FILTER ({c} IS NULL) AS violations FROM {rows}"""
-        for c in not_null
-    ]
-    if check:
-        parts.append(
-            f"""SELECT '{table}' AS table_name, 'check({check})' AS "constraint",
-              count(*) FILTER ({check} NOT IN ('BUY', 'SELL')) AS violations FROM {rows}"""
-        )
-    parts.append(
+def _violations(table: str, rows: str) -> list[str]:
+    declared = TABLES[table]
+    bad = {f"not_null({c})": f"{c} IS NULL" for c in declared.required}
+    for column, allowed in declared.domains.items():
+        bad[f"check({column})"] = f"{column} NOT IN ({', '.join(repr(v) for v in allowed)})"
+    keys = ", ".join(declared.keys)
+    return [
+        f"""SELECT '{table}' AS table_name, '{name}' AS "constraint",
+          count(*) FILTER ({predicate}) AS violations FROM {rows}"""
+        for name, predicate in bad.items()
+    ] + [
         f"""SELECT '{table}' AS table_name, 'unique({keys})' AS "constraint",
           count(*) AS violations
           FROM (SELECT {keys} FROM {rows} GROUP BY {keys} HAVING count(*) > 1)"""
-    )
-    return parts
+    ]
 
 
 def _union(parts: list[str]) -> str:
@@ -290,12 +308,9 @@ _FINAL: dict[str, str] = {
             "valid_exec_id": "exec_id IS NOT NULL", "positive_fill": "fill_qty > 0"}),
     ]),
     "constraint_violations": _union([
-        *_violations("live_orders", "fallback", "order_id",
-                     ["order_id", "etf_ticker", "trader_id", "direction", "qty", "filled_qty",
-                      "status"], "direction"),
-        *_violations("raw_market_data", "raw_market_data", "ticker, event_time",
-                     ["event_id", "event_time", "ticker"]),
-        *_violations("raw_orders", "raw_orders", "order_id", ["strategy", "price_limit"], "direction"),
+        *_violations("live_orders", "fallback"),
+        *_violations("raw_market_data", "raw_market_data"),
+        *_violations("raw_orders", "raw_orders"),
     ]),
     "active_orders": "SELECT * FROM active",
     "market_listing": """
@@ -405,8 +420,7 @@ _FINAL: dict[str, str] = {
         SELECT order_id, floor(fill_rate * 100 * 10 + 0.5) / 10 AS x,
           floor(avg_slippage_bps * 10 + 0.5) / 10 AS y,
           coalesce(nullif(strategy, ''), 'UNKNOWN') AS strategy
-        FROM (SELECT * FROM analytics WHERE fill_rate IS NOT NULL
-              ORDER BY created_at DESC, order_id LIMIT 80)""",
+        FROM analytics WHERE fill_rate IS NOT NULL""",
     "price_bounds": """
         SELECT min(last_price) FILTER (last_price <> 0) * 0.9995 AS min_price,
           max(last_price) FILTER (last_price <> 0) * 1.0005 AS max_price FROM history""",
@@ -446,23 +460,7 @@ _FINAL: dict[str, str] = {
         FROM (SELECT * FROM fallback WHERE created_at < TIMESTAMP '{LAST_SYNC}') t
           FULL JOIN sync_source s ON t.order_id = s.order_id""",
     "actions_state": "SELECT * FROM state",
-    "actions_audit": """
-        SELECT action_id, order_id, action_type, trader_id, ts,
-          CASE WHEN action_type IN ('CANCEL', 'EXECUTE') THEN status_before END AS old_status,
-          CASE WHEN action_type = 'EXECUTE' THEN filled0 END AS old_filled_qty,
-          CASE WHEN action_type = 'ADJUST_SIZE' THEN qty_before END AS old_qty,
-          CASE WHEN action_type = 'ADJUST_PRICE' AND price_before <> 0 THEN price_before END
-            AS old_price_limit,
-          CASE WHEN action_type = 'HEDGE' THEN coalesce(CAST(hedge_before AS VARCHAR), hedge0) END
-            AS old_assigned_hedge_id,
-          CASE action_type WHEN 'CANCEL' THEN 'CANCELLED' WHEN 'EXECUTE' THEN 'FILLED' END AS new_status,
-          CASE WHEN action_type = 'EXECUTE' THEN exec_price END AS new_fill_price,
-          CASE WHEN action_type = 'EXECUTE' THEN exec_slippage END AS new_slippage_bps,
-          CASE WHEN action_type IN ('ADJUST_SIZE', 'HEDGE') THEN qty END AS new_qty,
-          CASE WHEN action_type = 'ADJUST_PRICE' THEN price_limit END AS new_price_limit,
-          CASE WHEN action_type = 'HEDGE' THEN action_id END AS new_hedge_id,
-          CASE WHEN action_type = 'HEDGE' THEN instrument_id END AS new_instrument_id
-        FROM accepted""",
+    "actions_audit": _OPENED_AUDIT,
     "actions_rejected": """
         SELECT action_id, order_id, action_type, verdict AS reason,
           CAST(CASE verdict WHEN 'UNKNOWN_ORDER' THEN 404 WHEN 'NO_PRICE' THEN 500 ELSE 400 END
@@ -472,8 +470,7 @@ _FINAL: dict[str, str] = {
         SELECT action_id AS hedge_id, order_id AS parent_order_id, instrument_id, direction, qty,
           hedge_type, 'PENDING' AS status, ts AS created_at
         FROM accepted WHERE action_type = 'HEDGE'""",
-    "audit_by_order": """
-        SELECT action_id, order_id, action_type, trader_id, ts FROM accepted
+    "audit_by_order": f"""{_OPENED_AUDIT}
         WHERE order_id IN (SELECT order_id FROM live WHERE status = 'PENDING')""",
     "adjustment_preview": """
         SELECT a.action_id, a.order_id, a.action_type,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import hedging, order_state, quality, upsert
 from tapeloom.plans import gold, kpis, read_models, silver
-from tapeloom.schemas import DIRECTIONS, TABLES
+from tapeloom.schemas import TABLES
 from tapeloom.session import scratch_dir, tune
 from tapeloom.sources import snapshots
 from tapeloom.sources.desk_views import MARKET_AS_OF, ORDERS_AS_OF, VIEWS, spark_view
@@ -105,16 +105,15 @@ def _expectation_metrics(d: Desk) -> DataFrame:
 
 
 def _constraint_violations(d: Desk) -> DataFrame:
-    live, ticks, orders = TABLES["live_orders"], TABLES["raw_market_data"], TABLES["raw_orders"]
+    """All constraints that the tables declare, also those of required columns."""
+    rows = {
+        "live_orders": upsert.as_live_orders(upsert.live_order_fallback(d.raw_orders), ORDERS_AS_OF),
+        "raw_market_data": d.raw_market_data,
+        "raw_orders": d.raw_orders,
+    }
     return _stacked({
-        "live_orders": quality.constraint_violations(
-            upsert.as_live_orders(upsert.live_order_fallback(d.raw_orders), ORDERS_AS_OF),
-            live.keys, live.not_null, live.domains,
-        ),
-        "raw_market_data": quality.constraint_violations(d.raw_market_data, ticks.keys, ticks.not_null),
-        "raw_orders": quality.constraint_violations(
-            d.raw_orders, orders.keys, ("strategy", "price_limit"), {"direction": DIRECTIONS},
-        ),
+        name: quality.constraint_violations(df, TABLES[name].keys, TABLES[name].required, TABLES[name].domains)
+        for name, df in rows.items()
     })
 
 
@@ -165,7 +164,7 @@ def _audit_by_order(d: Desk) -> DataFrame:
     """The audit trail of all orders that were pending before the actions."""
     pending = read_models.status_tab(d.live, "PENDING")
     trail = order_state.audit_trail(d.after_actions.audit, pending)
-    return trail.select("action_id", "order_id", "action_type", "trader_id", "ts")
+    return _opened(trail)
 
 
 def _price_history(d: Desk) -> DataFrame:
@@ -239,14 +238,14 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "market_feed": lambda d: read_models.market_feed(d.snapshot),
     "market_ticker": lambda d: read_models.market_ticker(d.snapshot),
     "execution_listing": lambda d: read_models.execution_listing(d.analytics),
-    "analytics_feed": lambda d: read_models.analytics_feed(d.analytics),
+    "analytics_feed": lambda d: read_models.analytics_feed(d.analytics, limit=200),
     "trader_listing": lambda d: read_models.trader_listing(d.performance, d.traders),
     "performance_feed": lambda d: read_models.performance_feed(d.performance),
     "price_history_day": lambda d: read_models.price_history_day(d.market, MARKET_AS_OF),
     "price_history_ticker": _price_history,
     "hedge_instruments": lambda d: read_models.hedge_listing(d.instrument_catalog),
-    "order_blotter": lambda d: read_models.order_blotter(d.live, "PENDING,PARTIAL", "SPY"),
-    "blotter_fallback": lambda d: read_models.blotter_fallback(d.analytics),
+    "order_blotter": lambda d: read_models.order_blotter(d.live, "PENDING,PARTIAL", "SPY", limit=100),
+    "blotter_fallback": lambda d: read_models.blotter_fallback(d.analytics, limit=100),
     "latest_raw_tick": lambda d: read_models.latest_raw_tick(d.raw_market_data),
     "order_search": lambda d: read_models.search_orders(d.orders, "vWaP"),
     "order_sort_nulls_last": lambda d: read_models.sort_orders(d.orders, "strategy", "desc"),

@@ -152,20 +152,26 @@ def test_a_micro_batch_does_not_shuffle_the_large_table(spark, tmp_path):
     place = store.Layout(str(tmp_path))
     store.write_table(many_orders(spark), place, "raw_orders")
     orders = store.read_table(spark, place, "raw_orders")
-    batch = spark.createDataFrame([("O1",), ("O1",), ("O7",), ("none",), (None,)], "order_id string")
-    few = split_by_keys(orders, keys_of(batch))
-    for part in few:
-        plan = plan_of(part)
+    spark.createDataFrame([("O1",), ("O1",), ("O7",), ("none",), (None,)], "order_id string").write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    split = split_by_keys(orders, keys_of(batch))
+    for part in split:
+        plan = final_plan(part)
         assert "BroadcastHashJoin" in plan
         scan = plan[: plan.index("FileScan")]
         assert "Exchange hashpartitioning" not in scan
-    many = split_by_keys(orders, keys_of(batch, limit=2))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "SortMergeJoin" in plan_of(many.touched)
-        assert "SortMergeJoin" in plan_of(many.rest)
-        for split in (few, many):
-            assert sorted(r.order_id for r in split.touched.collect()) == ["O1", "O7"]
-            assert split.rest.count() == 2998
+        split = split_by_keys(orders, keys_of(batch))
+        assert "SortMergeJoin" in plan_of(split.touched) and "SortMergeJoin" in plan_of(split.rest)
+        assert sorted(r.order_id for r in split.touched.collect()) == ["O1", "O7"]
+        assert split.rest.count() == 2998
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", ["latest_raw_tick", "blotter_enriched", "live_orders_merge"])
+def test_tables_are_not_sorted_to_be_aggregated(spark, name):
+    """The only sort aggregate is that of the ticks at the latest time of their ticker."""
+    plan = plan_of(queries()[name](spark, DIRECTORY))
+    assert plan.count("SortAggregate") == (2 if name == "latest_raw_tick" else 0)
