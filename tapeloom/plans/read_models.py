@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import (
@@ -17,6 +17,7 @@ from tapeloom.functions.columns import (
     slippage_band,
 )
 from tapeloom.schemas import CLOSED_STATUSES, OPEN_STATUSES
+from tapeloom.sources.layout import Layout, read_table
 
 SEARCHED = ("order_id", "etf_ticker", "trader_id", "strategy")
 
@@ -250,6 +251,19 @@ def price_history(
     return ordered.select("event_time", "last_price", "bid", "ask", "volume", "vwap")
 
 
+def stored_price_history(
+    spark: SparkSession,
+    layout: Layout,
+    as_of: Moment = None,
+    ticker: str = "SPY",
+    hours: int = 8,
+    name: str = "raw_market_data",
+) -> DataFrame:
+    """`price_history` of a stored table, of which only the day folders of the window are read."""
+    start = moment(as_of) - F.make_interval(hours=F.lit(hours))
+    return price_history(read_table(spark, layout, name, since=start), as_of, ticker, hours)
+
+
 # -- traders and instruments -------------------------------------------------
 
 

@@ -16,7 +16,7 @@ import re
 
 from tapeloom.schemas import TABLES
 from tapeloom.sources.desk_views import MARKET_AS_OF, ORDERS_AS_OF, VIEWS, duckdb_view
-from tapeloom.workload.queries import LAST_SYNC
+from tapeloom.workload.queries import LAST_SYNC, LATE
 
 _MARKET_NOW = f"TIMESTAMP '{MARKET_AS_OF}'"
 _ORDERS_NOW = f"TIMESTAMP '{ORDERS_AS_OF}'"
@@ -240,6 +240,15 @@ _STEPS: dict[str, str] = {
 }
 
 
+_ORDER_SUMMARY = f"""
+        SELECT {_ORDERS_NOW} AS generated_at, count(*) AS total_orders,
+          (SELECT count(*) FROM raw_executions) AS total_executions,
+          count(*) FILTER (status = 'PENDING') AS "PENDING",
+          count(*) FILTER (status = 'PARTIAL') AS "PARTIAL",
+          count(*) FILTER (status = 'FILLED') AS "FILLED",
+          count(*) FILTER (status = 'CANCELLED') AS "CANCELLED"
+        FROM raw_orders"""
+
 _OPENED_AUDIT = """
         SELECT action_id, order_id, action_type, trader_id, ts,
           CASE WHEN action_type IN ('CANCEL', 'EXECUTE') THEN status_before END AS old_status,
@@ -335,6 +344,16 @@ _FINAL: dict[str, str] = {
         SELECT ticker, event_time, last_price, vwap, bid, ask, volume FROM market
         WHERE event_time >= {_MARKET_NOW} - INTERVAL 1 DAY""",
     "price_history_ticker": "SELECT * FROM history",
+    "price_history_stored": "SELECT * FROM history",
+    "prices_from_bronze": """
+        SELECT ticker, last_price FROM raw_market_data
+        QUALIFY row_number() OVER (PARTITION BY ticker ORDER BY event_time DESC, event_id DESC) = 1""",
+    "order_summary_file": _ORDER_SUMMARY,
+    "live_orders_parsed": """
+        SELECT * REPLACE (CASE WHEN qty % 700 = 0 THEN 0 ELSE qty END AS qty,
+          CASE WHEN qty % 700 = 0 THEN 'PENDING' ELSE status END AS status) FROM live""",
+    "orders_by_statement": """
+        SELECT order_id, trader_id, qty FROM raw_orders WHERE status = 'PENDING' AND qty > 5000""",
     "hedge_instruments": "SELECT * FROM instrument_catalog",
     "order_blotter": """
         SELECT * FROM live WHERE status IN ('PENDING', 'PARTIAL') AND etf_ticker = 'SPY'
@@ -385,14 +404,7 @@ _FINAL: dict[str, str] = {
           LEFT JOIN orders_s o ON o.status = d.status GROUP BY d.status
         UNION ALL SELECT 'ALL', count(*) FROM orders_s""",
     "orders_by_status": "SELECT status, count(order_id) AS orders FROM active GROUP BY status",
-    "order_summary": f"""
-        SELECT {_ORDERS_NOW} AS generated_at, count(*) AS total_orders,
-          (SELECT count(*) FROM raw_executions) AS total_executions,
-          count(*) FILTER (status = 'PENDING') AS "PENDING",
-          count(*) FILTER (status = 'PARTIAL') AS "PARTIAL",
-          count(*) FILTER (status = 'FILLED') AS "FILLED",
-          count(*) FILTER (status = 'CANCELLED') AS "CANCELLED"
-        FROM raw_orders""",
+    "order_summary": _ORDER_SUMMARY,
     "by_strategy": f"""
         SELECT coalesce(nullif(strategy, ''), 'UNKNOWN') AS strategy, count(*) AS total,
           {_half_up(f"sum({_units('fill_rate', 4)})", "100 * count(*)")} AS fill_rate,
@@ -505,6 +517,8 @@ _FINAL: dict[str, str] = {
         SELECT ticker, {_MARKET_NOW} AS generated_at, last_price, bid, ask, volume, vwap,
           intraday_high, intraday_low FROM snapshot""",
     "stream_market_dedupe": "SELECT DISTINCT ticker, event_time FROM raw_market_data",
+    "stream_market_silver": f"SELECT * FROM market WHERE NOT ({LATE})",
+    "stream_market_snapshot": "SELECT * FROM snapshot",
     "stream_gold_refresh": "SELECT * FROM analytics",
     "stream_order_actions": "SELECT * FROM state",
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.operators import hedging, order_state, quality, upsert
 from tapeloom.plans import gold, kpis, read_models, silver
+from tapeloom.plans.refresh import current_prices
 from tapeloom.schemas import TABLES
 from tapeloom.session import scratch_dir, tune
 from tapeloom.sources import snapshots
@@ -18,6 +19,7 @@ from tapeloom.sources.layout import (
     Layout,
     read_stream,
     read_table,
+    run_sql,
     table_row_counts,
     write_table,
     write_version,
@@ -195,6 +197,71 @@ def _stream_market_dedupe(d: Desk) -> DataFrame:
     return d.spark.read.parquet(kept)
 
 
+# Ticks that reach `stream_market_*` after their time has passed the watermark.
+LATE = f"event_time < TIMESTAMP '{MIDWAY}' AND CAST(substr(event_id, 5) AS BIGINT) % 50 = 0"
+
+
+def _streamed_ticks(d: Desk) -> Layout:
+    """Ticks in three arrivals: the older, the newer with copies of some, and late ones, which are dropped."""
+    layout = Layout(scratch_dir(d.spark, "ticks"))
+    ticks = silver.unique_ticks(d.raw_market_data).select(*TABLES["raw_market_data"].columns)
+    late, older = F.coalesce(F.expr(LATE), F.lit(False)), F.col("event_time") < MIDWAY
+    newer = ticks.where(~older)
+    copies = newer.where(F.expr("CAST(substr(event_id, 5) AS BIGINT) % 7 = 0"))
+    for arrival in (ticks.where(older & ~late), newer.unionByName(copies), ticks.where(late)):
+        write_table(arrival, layout, "raw_market_data")
+        start_silver(d.spark, layout, "market_data_silver", ONCE).awaitTermination()
+    return layout
+
+
+def _stream_market_silver(d: Desk) -> DataFrame:
+    return read_table(d.spark, _streamed_ticks(d), "market_data_silver")
+
+
+def _stream_market_snapshot(d: Desk) -> DataFrame:
+    layout = _streamed_ticks(d)
+    for query in start_gold(d.spark, layout, ONCE, as_of=MARKET_AS_OF):
+        query.awaitTermination()
+    return read_table(d.spark, layout, "market_snapshot_gold")
+
+
+def _price_history_stored(d: Desk) -> DataFrame:
+    """The price chart from stored ticks, of which only the folders of its window are read."""
+    layout = Layout(scratch_dir(d.spark, "stored-ticks"))
+    write_table(d.raw_market_data, layout, "raw_market_data")
+    return read_models.stored_price_history(d.spark, layout, MARKET_AS_OF, "SPY", hours=8)
+
+
+def _prices_from_bronze(d: Desk) -> DataFrame:
+    """Current prices where there is no snapshot yet."""
+    layout = Layout(scratch_dir(d.spark, "bronze"))
+    write_table(d.raw_market_data, layout, "raw_market_data")
+    return current_prices(d.spark, layout)
+
+
+def _order_summary_file(d: Desk) -> DataFrame:
+    path = f"{scratch_dir(d.spark, 'summary')}/latest"
+    summary = snapshots.order_summary(d.raw_orders, d.raw_executions, ORDERS_AS_OF)
+    snapshots.order_summary_json(summary, path)
+    return d.spark.read.schema(summary.schema).json(path).select(
+        "generated_at", "total_orders", "total_executions", "status_counts.*")
+
+
+def _live_orders_parsed(d: Desk) -> DataFrame:
+    """Live orders that arrive as text, some with sizes that are no numbers and without status."""
+    text = d.live.select(*[F.col(c).cast("string").alias(c) for c in d.live.columns])
+    odd = F.col("qty").cast("int") % 700 == 0
+    text = text.withColumns({"qty": F.when(odd, "n/a").otherwise(F.col("qty")), "status": F.when(~odd, F.col("status"))})
+    return upsert.as_live_orders(upsert.parse_live_order_rows(text), ORDERS_AS_OF)
+
+
+def _orders_by_statement(d: Desk) -> DataFrame:
+    return run_sql(
+        d.spark, "SELECT order_id, trader_id, qty FROM {orders} WHERE status = :status AND qty > :least",
+        {"status": "PENDING", "least": 5000}, orders=d.raw_orders,
+    )
+
+
 def _stream_gold_refresh(d: Desk) -> DataFrame:
     """Bronze to silver to order analytics, all as streams."""
     layout = Layout(scratch_dir(d.spark, "gold"))
@@ -243,6 +310,11 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "performance_feed": lambda d: read_models.performance_feed(d.performance),
     "price_history_day": lambda d: read_models.price_history_day(d.market, MARKET_AS_OF),
     "price_history_ticker": _price_history,
+    "price_history_stored": _price_history_stored,
+    "prices_from_bronze": _prices_from_bronze,
+    "order_summary_file": _order_summary_file,
+    "live_orders_parsed": _live_orders_parsed,
+    "orders_by_statement": _orders_by_statement,
     "hedge_instruments": lambda d: read_models.hedge_listing(d.instrument_catalog),
     "order_blotter": lambda d: read_models.order_blotter(d.live, "PENDING,PARTIAL", "SPY", limit=100),
     "blotter_fallback": lambda d: read_models.blotter_fallback(d.analytics, limit=100),
@@ -282,6 +354,8 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     }),
     "market_snapshot_json": _market_snapshot_json,
     "stream_market_dedupe": _stream_market_dedupe,
+    "stream_market_silver": _stream_market_silver,
+    "stream_market_snapshot": _stream_market_snapshot,
     "stream_gold_refresh": _stream_gold_refresh,
     "stream_order_actions": _stream_order_actions,
 }

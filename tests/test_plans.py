@@ -15,7 +15,7 @@ from tapeloom.workload.queries import Desk, queries
 from tests.helpers import FILL, LIVE, ORDER, table
 
 DIRECTORY = "/root/testdata/sf0.001"
-STREAMS = {n for n in queries() if n.startswith("stream_")}
+STREAMS = {n for n in queries() if n.startswith("stream_")} | {"order_summary_file"}
 
 
 def plan_of(df):
@@ -134,6 +134,11 @@ def test_scans_are_pruned(spark, tmp_path):
         "order_id", "fill_qty", "fill_price", "fill_notional", "exec_time", "slippage_bps"]
 
 
+def test_stored_history_reads_the_folders_of_its_window(spark):
+    plan = plan_of(queries()["price_history_stored"](spark, DIRECTORY))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_time_day", plan)
+
+
 def test_top_k_does_not_sort_everything(spark):
     plan = plan_of(queries()["order_blotter"](spark, DIRECTORY))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
