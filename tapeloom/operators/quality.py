@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,39 @@ def constraint_violations(
     ])))
 
 
+class Enforced(NamedTuple):
+    kept: DataFrame
+    rejected: DataFrame
+
+
+def enforce(df: DataFrame, keys: Iterable[str], required: Iterable[str], domains: Mapping[str, Iterable[str]]) -> Enforced:
+    """Rows that a table with these constraints takes, and the others with a reason.
+
+    A row that is repeated as it is counts once. Of different rows with one key, one without other
+    faults stays; which one is the same for every run. A NULL passes a CHECK, but not a key.
+    """
+    reason = F.lit(None).cast("string")
+    for column, allowed in reversed(list(domains.items())):
+        reason = F.when(~F.col(column).isin(*allowed), f"check({column})").otherwise(reason)
+    for column in reversed(list(required)):
+        reason = F.when(F.col(column).isNull(), f"not_null({column})").otherwise(reason)
+    keys, columns = list(keys), df.columns
+    rows = df.distinct().withColumns({"reason": reason, "content": F.xxhash64(*columns)})
+    good = rows.where(F.col("reason").isNull())
+    first = good.groupBy(*[F.col(k).alias(f"first_{k}") for k in keys]).agg(F.min("content").alias("first"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"first_{k}"))
+    is_first = F.col("content") == F.col("first")
+    judged = rows.join(first, same, "left").withColumn(
+        "reason", F.coalesce("reason", F.when(~F.coalesce(is_first, F.lit(False)), f"unique({', '.join(keys)})"))
+    )
+    return Enforced(
+        judged.where(F.col("reason").isNull()).select(*columns),
+        judged.where(F.col("reason").isNotNull()).select(*columns, "reason"),
+    )
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
     """Fill missing values, and add the column where the input lacks it."""
     filled = {

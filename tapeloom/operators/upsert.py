@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.functions.columns import Moment, moment
-from tapeloom.operators.quality import with_defaults
+from tapeloom.operators.quality import Enforced, enforce, with_defaults
 from tapeloom.schemas import TABLES
 
 # What a sync replaces in an order that is already live.
@@ -109,6 +109,12 @@ def as_live_orders(source: DataFrame, as_of: Moment = None) -> DataFrame:
     return rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema])
 
 
+def accepted_live_orders(rows: DataFrame) -> Enforced:
+    """Rows that the live table takes by its declared constraints, and the others with a reason."""
+    table = TABLES["live_orders"]
+    return enforce(rows, table.keys, table.required, table.domains)
+
+
 def sync_live_orders(live: DataFrame, source: DataFrame, as_of: Moment = None) -> DataFrame:
     """Merge upstream progress into the live orders.
 

@@ -164,6 +164,10 @@ TABLES: dict[str, Table] = {
         defaults={"filled_qty": 0, "status": "PENDING", "fill_rate": 0.0},
         storage="snapshots",
     ),
+    "rejected_live_orders": Table(
+        "order_id string, reason string, row string",
+        storage="snapshots",
+    ),
     "order_actions": Table(
         "action_id bigint, order_id string, action_type string, old_value string, "
         "new_value string, trader_id string, ts timestamp",

@@ -478,6 +478,16 @@ _FINAL: dict[str, str] = {
           CAST(CASE verdict WHEN 'UNKNOWN_ORDER' THEN 404 WHEN 'NO_PRICE' THEN 500 ELSE 400 END
             AS INT) AS code, trader_id, ts
         FROM judged WHERE verdict <> 'OK'""",
+    "hedge_rejected": """
+        SELECT action_id, order_id, action_type, 'BAD_HEDGE' AS reason, CAST(422 AS INT) AS code, trader_id, ts
+        FROM actions WHERE action_type = 'HEDGE' AND (action_id % 5 = 0 OR action_id % 6 = 0
+          OR instrument_id IS NULL OR direction IS NULL OR qty IS NULL OR hedge_type IS NULL)""",
+    "live_orders_rejected": """
+        SELECT order_id, CASE WHEN qty % 700 = 0 THEN 'not_null(trader_id)'
+          WHEN qty % 500 = 0 THEN 'check(direction)' ELSE 'unique(order_id)' END AS reason
+        FROM (SELECT order_id, qty, false AS again FROM raw_orders
+              UNION ALL SELECT order_id, qty, true FROM raw_orders WHERE qty % 300 = 0)
+        WHERE qty % 700 = 0 OR qty % 500 = 0 OR again""",
     "hedge_requests": """
         SELECT action_id AS hedge_id, order_id AS parent_order_id, instrument_id, direction, qty,
           hedge_type, 'PENDING' AS status, ts AS created_at

@@ -255,6 +255,28 @@ def _live_orders_parsed(d: Desk) -> DataFrame:
     return upsert.as_live_orders(upsert.parse_live_order_rows(text), ORDERS_AS_OF)
 
 
+def _live_orders_rejected(d: Desk) -> DataFrame:
+    """What the live table refuses of orders some of which have a bad side, no trader or a second version."""
+    size = F.col("qty")
+    orders = d.raw_orders.withColumns({
+        "direction": F.when(size % 500 == 0, "HOLD").otherwise(F.col("direction")),
+        "trader_id": F.when(size % 700 != 0, F.col("trader_id")),
+    })
+    again = orders.where(size % 300 == 0).withColumn("qty", size + 1)
+    rows = upsert.as_live_orders(upsert.live_order_fallback(orders.unionByName(again)), ORDERS_AS_OF)
+    return upsert.accepted_live_orders(rows).rejected.select("order_id", "reason")
+
+
+def _hedge_rejected(d: Desk) -> DataFrame:
+    """Actions refused for what they lack, of actions some of which have no instrument or no size."""
+    actions = d.actions.withColumns({
+        "instrument_id": F.when(F.col("action_id") % 5 != 0, F.col("instrument_id")),
+        "qty": F.when(F.col("action_id") % 6 != 0, F.col("qty")),
+    })
+    state = order_state.apply_order_actions(d.live, actions, d.snapshot)
+    return state.rejected.where("reason = 'BAD_HEDGE'")
+
+
 def _orders_by_statement(d: Desk) -> DataFrame:
     return run_sql(
         d.spark, "SELECT order_id, trader_id, qty FROM {orders} WHERE status = :status AND qty > :least",
@@ -344,6 +366,8 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "actions_state": lambda d: d.after_actions.live_orders,
     "actions_audit": _actions_audit,
     "actions_rejected": lambda d: d.after_actions.rejected,
+    "hedge_rejected": _hedge_rejected,
+    "live_orders_rejected": _live_orders_rejected,
     "hedge_requests": lambda d: d.after_actions.hedge_requests,
     "audit_by_order": _audit_by_order,
     "adjustment_preview": lambda d: order_state.adjustment_preview(d.live, d.actions),
