@@ -11,9 +11,10 @@ share none of the 32 bands with a probability of about 5e-6.
 Candidates. Documents with equal sets are one text from here on. In a bucket (texts with the same
 band) the pairs are not listed. A round gives every bucket a pivot out of its largest component
 and verifies the pivot against the texts of other components; PIVOT_ROUNDS of them, each with
-other pivots, leave few texts apart that belong together. A last round verifies every pair of
-the same bucket whose components still differ and that was not verified yet, so no candidate
-is left out: the result is that of all pairs of all buckets.
+other pivots, the second with the text that has least of its own, leave few texts apart that
+belong together. Texts that share a bucket with another component then are joined by their rarest
+shingles, which finds every similar pair of them, whatever their buckets; pairs within a component
+aren't made. So the result is that of all pairs of all buckets, and no bucket is enumerated.
 
 Verification counts the intersection of the full sets. Only texts that share a bucket are read
 again for it. Components are found by star contraction over verified links.
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
@@ -161,9 +162,8 @@ def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return stored(joined.select("doc_id", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
-def _possible(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rows of open_ (band, doc_id, n, comp) with e, the number of the text's shingles that some other
-    text of open_ has too: no intersection is larger. Texts with too few of them have no partner."""
+def _tokens(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(doc_id, h): the shingles of the documents in ids, one a row."""
     kind = pa.schema([("doc_id", pa.int64()), ("h", pa.int64())])
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,38 +172,72 @@ def _possible(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             ids = np.repeat(batch.column(0).to_numpy(), [len(x) for x in own])
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate([np.empty(0, np.int64), *own]))], schema=kind)
 
+    return sets.join(ids, "doc_id", "left_semi").select("doc_id", "shingles").mapInArrow(listed, "doc_id long, h long")
+
+
+def _shared_shingles(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The rows of open_ (band, doc_id, n) with e, the number of the text's shingles that some other text of
+    open_ has too: no intersection is larger. Texts with too few of them have no partner and go."""
     open_ = stored(open_, "open")
-    wanted = sets.join(open_.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "shingles")
-    holders = wanted.mapInArrow(listed, "doc_id long, h long").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"))
+    holders = _tokens(open_.select("doc_id").distinct(), sets).groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("k"))
     alone = holders.where("k = 1").groupBy("doc_id").agg(F.count(F.lit(1)).alias("q"))
     rows = open_.join(alone, "doc_id", "left").withColumn("e", F.col("n") - F.coalesce("q", F.lit(0))).drop("q")
     return stored(rows.where(100 * F.col("e") >= percent * F.col("n")), "possible")
 
 
+def _prefix_pairs(texts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): the pairs of texts (doc_id, n, comp) of different components that can be similar.
+
+    Shingles are ordered by how many of the texts have them, the rarest first. Similar texts share
+    one of their first n - ceil(n * percent / 100) + 1, and what follows the first shared one must
+    suffice for the rest of the intersection. That is exact and needs no bucket.
+    """
+    tokens = stored(_tokens(texts.select("doc_id"), sets), "tokens")
+    held = stored(tokens.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "held")
+    ranked = salted_join(tokens, held.withColumnRenamed("n", "k"), ["h"], "doc_id", counts=held)
+    ranked = ranked.withColumn("i", F.row_number().over(Window.partitionBy("doc_id").orderBy("k", "h")))
+    ranked = ranked.join(texts, "doc_id").where("k > 1").where(F.col("i") <= F.floor(F.col("n") * (100 - percent) / 100) + 1)
+    left = stored(ranked.select("h", "doc_id", "n", "comp", "i"), "prefixes")
+    right = left.select("h", *(F.col(c).alias(c + "_") for c in ("doc_id", "n", "comp", "i")))
+    rest = 1 + F.least(F.col("n") - F.col("i"), F.col("n_") - F.col("i_"))
+    fits = (100 + percent) * rest >= percent * (F.col("n") + F.col("n_"))
+    pairs = left.join(right, "h").where("doc_id < doc_id_ AND comp <> comp_").where(fits)
+    return pairs.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
+
+
+def _open_buckets(now: DataFrame, order: Column) -> DataFrame:
+    """(band, n, at, pivot, pivot_n, pivot_e) of the buckets with several components: the number of texts,
+    the largest component and the text of it that is largest by order."""
+    top = F.max(F.struct(order.alias("w"), "doc_id", "n", "e")).alias("top")
+    groups = now.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), top)
+    buckets = groups.groupBy("band").agg(
+        F.max(F.struct("n", "top.w", "comp", "top")).alias("p"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")
+    ).where("parts > 1")
+    pivot = (F.col("p.comp").alias("at"), *(F.col(f"p.top.{c}").alias(d) for c, d in (("doc_id", "pivot"), ("n", "pivot_n"), ("e", "pivot_e"))))
+    return stored(buckets.select("band", "n", *pivot), "buckets")
+
+
 def linked(members: DataFrame, sets: DataFrame, percent: int, rounds: int = PIVOT_ROUNDS) -> DataFrame:
     """(doc_id, comp) of members (band, doc_id, n, weight): the components of all verified pairs
     that share a bucket."""
     labels = stored(members.select("doc_id").distinct().select("doc_id", F.col("doc_id").alias("comp")), "labels")
-    fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))  # noqa: E731  else the sizes alone tell
-    checked = None
+    enough = lambda e, f, n, m: (100 + percent) * F.least(e, f) >= percent * (n + m)  # noqa: E731  of what both can share
+    members, checked = members.withColumn("e", F.col("n")), None
     for i in range(rounds + 1):
+        if i == 1:
+            now = members.join(labels, "doc_id")
+            open_ = salted_join(now, (b := _open_buckets(now, F.col("weight"))).select("band"), ["band"], "doc_id", counts=b.select("band", "n"))
+            members = _shared_shingles(open_.select("band", "doc_id", "n"), sets, percent)
         now = members.join(labels, "doc_id")
-        order = F.col("weight") if i == 0 else F.xxhash64("doc_id", "band", F.lit(i))
-        groups = now.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(order.alias("w"), "doc_id", "n")).alias("top"))
-        buckets = groups.groupBy("band").agg(
-            F.max(F.struct("n", "top.w", "comp", "top")).alias("p"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n")
-        ).where("parts > 1")
-        buckets = stored(buckets, "buckets")
-        pivots = buckets.select("band", F.col("p.comp").alias("at"), F.col("p.top.doc_id").alias("pivot"), F.col("p.top.n").alias("pivot_n"))
-        open_ = salted_join(now, pivots, ["band"], "doc_id", counts=buckets.select("band", "n"))
+        # first a text that meets many others, then one with little of its own, then any
+        order = (F.col("weight") if not i else F.floor(F.col("e") * 1_000_000 / F.col("n")) if i == 1 else F.xxhash64("doc_id", "band", F.lit(i)))
+        buckets = _open_buckets(now, order)
+        open_ = salted_join(now, buckets.drop("n"), ["band"], "doc_id", counts=buckets.select("band", "n"))
         if i < rounds:
-            pairs = open_.where(F.col("comp") != F.col("at")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
-        else:  # every pair of different components that share a bucket, unless it can't be similar
-            left = _possible(open_.select("band", "doc_id", "n", "comp"), sets, percent)
-            right = left.select("band", *(F.col(c).alias(c + "_") for c in ("doc_id", "n", "comp", "e")))
-            enough = (100 + percent) * F.least("e", "e_") >= percent * (F.col("n") + F.col("n_"))
-            pairs = left.join(right, "band").where("doc_id < doc_id_ AND comp <> comp_").where(enough)
-            pairs = pairs.select(F.col("doc_id").alias("a"), F.col("doc_id_").alias("b"))
+            fits = enough(F.col("e"), F.col("pivot_e"), F.col("n"), F.col("pivot_n"))
+            pairs = open_.where(F.col("comp") != F.col("at")).where(fits).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
+        else:
+            pairs = _prefix_pairs(stored(open_.select("doc_id", "n", "comp").distinct(), "open"), sets, percent)
         pairs = pairs.distinct()
         if checked is not None:
             turned = checked.select(F.col("b").alias("a"), F.col("a").alias("b"))
@@ -227,6 +261,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     buckets = stored(texts.select("doc_id", "n", "s1", "s2", F.explode("bands").alias("band")), "buckets")
     sizes = buckets.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     sizes = stored(sizes, "sizes")
+    # few bands are in several texts; most of the others needn't be shuffled
+    buckets = stored(buckets.where(Prefilter(sizes, "band").column(F.col("band"))), "shared-buckets")
     members = salted_join(buckets, sizes.select("band", F.col("n").alias("size")), ["band"], "doc_id", counts=sizes)
     # a text that meets many others is likely their middle: the first pivot
     members = stored(members.withColumn("weight", F.sum("size").over(Window.partitionBy("doc_id"))), "members")
