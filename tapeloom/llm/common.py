@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
@@ -15,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tapeloom.session import scratch_dir
+
 #: A key with at least this share of a side's rows counts as hot; so there are at most PARTS hot keys.
 PARTS = 256
 #: Bits of a prefilter. Fixed, so what is broadcast never grows with the data.
@@ -55,20 +56,9 @@ def arrow(function: Callable, returns: str) -> Callable:
 # -- scratch ---------------------------------------------------------------------------------
 
 
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new folder under spark.checkpoint.dir; a plain local session without it uses its own."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="corpus-")
-        spark.sparkContext.setCheckpointDir(shared)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once as Parquet to the shared scratch folder, and read again."""
-    path = scratch(df.sparkSession, label)
+    path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -153,6 +143,16 @@ class Prefilter:
 # -- skew ------------------------------------------------------------------------------------
 
 
+def _hot_keys(counts: DataFrame, keys: list[str], total: int | None) -> dict[int, int]:
+    """The number of shares of each hot key, by the key's hash. At most PARTS keys come to the driver."""
+    seen = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+    total = max(total or seen["total"] or 0, 1)
+    if (seen["most"] or 0) * PARTS < total:
+        return {}
+    hot = counts.where(F.col("n") * PARTS >= total).select(F.xxhash64(*keys).alias("k"), F.ceil(F.col("n") * PARTS / F.lit(total)).alias("s"))
+    return {r["k"]: r["s"] for r in hot.collect()}
+
+
 def salted_join(
     left: DataFrame,
     right: DataFrame,
@@ -165,24 +165,23 @@ def salted_join(
     """left joined with right, which has a few rows a key; a hot key's rows on the left are dealt out
     by a hash of the column spread, and its rows on the right are repeated for each share.
 
-    A key is hot if it has 1 / PARTS of the rows, so there are PARTS hot keys at most; they are
-    broadcast. counts (keys, n) are the rows of left by key, total their sum; what is not given
-    is counted, for which left should be stored.
+    A key is hot if it has 1 / PARTS of the rows, so there are PARTS hot keys at most; both sides look
+    the shares up by the hash of the key, in a constant. counts (keys, n) are the rows of left by
+    key, total their sum or more; what is not given is counted, for which left should be stored.
+    The keys have the same types on both sides.
     """
     if counts is None:
         counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    if total is None:
-        total = counts.agg(F.sum("n")).first()[0]
-    total = max(total or 0, 1)
-    hot = F.broadcast(
-        counts.where(F.col("n") * PARTS >= total).select(*keys, F.ceil(F.col("n") * PARTS / F.lit(total)).cast("int").alias("salts"))
-    )
-    shares = F.coalesce("salts", F.lit(1))
+    hot = _hot_keys(counts, keys, total)
+    shares = F.lit(1)
+    if hot:
+        table = F.map_from_arrays(F.array(*map(F.lit, hot)), F.array(*map(F.lit, hot.values())))
+        shares = F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1)).cast("int")
     known = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
     over = F.when(known, shares).otherwise(F.lit(PARTS))  # rows without a key match nothing and go anywhere
-    dealt = left.join(hot, keys, "left").withColumn("salt", F.pmod(F.xxhash64(spread), over).cast("int"))
-    repeated = right.join(hot, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), shares - 1)))
-    return dealt.drop("salts").join(repeated.drop("salts"), [*keys, "salt"], how).drop("salt")
+    salt = F.explode(F.sequence(F.lit(0), shares - 1)) if hot else F.lit(0)
+    dealt = left.withColumn("salt", F.pmod(F.xxhash64(spread), over).cast("int"))
+    return dealt.join(right.withColumn("salt", salt), [*keys, "salt"], how).drop("salt")
 
 
 # -- components ------------------------------------------------------------------------------

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from tapeloom.llm.common import NO_ID, arrow, scratch, stored
+from tapeloom.llm.common import NO_ID, arrow, stored
+from tapeloom.session import scratch_dir
 
 #: Runs of a level before they are merged into the next.
 FANOUT = 2
@@ -72,7 +73,7 @@ class LineIndex:
         self.levels: list[list[str]] = []
 
     def _write(self, run: DataFrame) -> str:
-        path = scratch(self.spark, "run")
+        path = scratch_dir(self.spark, "run")
         name = "run_" + path.rpartition("-")[2]
         run.repartition(self.buckets, *HASH).write.bucketBy(self.buckets, *HASH).sortBy(*HASH).option("path", path).saveAsTable(name)
         return name
