@@ -229,15 +229,15 @@ def linked(members: DataFrame, sets: DataFrame, percent: int, rounds: int = PIVO
             open_ = salted_join(now, (b := _open_buckets(now, F.col("weight"))).select("band"), ["band"], "doc_id", counts=b.select("band", "n"))
             members = _shared_shingles(open_.select("band", "doc_id", "n"), sets, percent)
         now = members.join(labels, "doc_id")
-        # first a text that meets many others, then one with little of its own, then any
-        order = (F.col("weight") if not i else F.floor(F.col("e") * 1_000_000 / F.col("n")) if i == 1 else F.xxhash64("doc_id", "band", F.lit(i)))
-        buckets = _open_buckets(now, order)
-        open_ = salted_join(now, buckets.drop("n"), ["band"], "doc_id", counts=buckets.select("band", "n"))
         if i < rounds:
+            # first a text that meets many others, then one with little of its own, then any
+            order = (F.col("weight") if not i else F.floor(F.col("e") * 1_000_000 / F.col("n")) if i == 1 else F.xxhash64("doc_id", "band", F.lit(i)))
+            buckets = _open_buckets(now, order)
+            open_ = salted_join(now, buckets.drop("n"), ["band"], "doc_id", counts=buckets.select("band", "n"))
             fits = enough(F.col("e"), F.col("pivot_e"), F.col("n"), F.col("pivot_n"))
             pairs = open_.where(F.col("comp") != F.col("at")).where(fits).select(F.col("pivot").alias("a"), F.col("doc_id").alias("b"))
         else:
-            pairs = _prefix_pairs(stored(open_.select("doc_id", "n", "comp").distinct(), "open"), sets, percent)
+            pairs = _prefix_pairs(stored(now.select("doc_id", "n", "comp").distinct(), "open"), sets, percent)
         pairs = pairs.distinct()
         if checked is not None:
             turned = checked.select(F.col("b").alias("a"), F.col("a").alias("b"))
