@@ -164,6 +164,32 @@ def test_a_passage_that_no_earlier_document_has_whole(spark):
     assert (got[7, 6]["start"], got[7, 6]["stop"], got[7, 6]["matched"]) == (0, 60, 60)
 
 
+def uncovered(texts, got):
+    """(doc_id, pos) of the windows of MIN_WORDS words that two documents have and no passage of the document covers."""
+    holders, spans = {}, {}
+    for d, text in texts:
+        words = text.split()
+        for i in range(len(words) - substring.MIN_WORDS + 1):
+            holders.setdefault(tuple(words[i : i + substring.MIN_WORDS]), set()).add((d, i))
+    for r in got:
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["stop"]))
+        spans.setdefault(r["partner_id"], []).append((r["partner_start"], r["partner_stop"]))
+    common = [p for places in holders.values() if len({d for d, _ in places}) > 1 for p in places]
+    assert common
+    return [(d, i) for d, i in common if not any(s <= i and i + substring.MIN_WORDS <= e for s, e in spans.get(d, ()))]
+
+
+def test_a_passage_whose_pieces_are_frequent_elsewhere(spark):
+    """Two documents share 60 words, of which 60 others each have the first or the last 30."""
+    a, b = prose(40, 30), prose(41, 30)
+    rows = [(i, f"{prose(1000 + i)} {(a, b)[i % 2]}") for i in range(120)]
+    rows += [(i, f"{prose(2000 + i)} {(a, b)[i % 2]} {prose(3000 + i)}") for i in range(200, 320)]
+    rows += [(150, f"{prose(42)} {a} {b} {prose(43)}"), (160, f"{a} {b} {prose(44)}")]
+    got = substring.repeated_passages(frame(spark, rows)).collect()
+    assert uncovered(rows, got) == []
+    assert {frozenset((r["doc_id"], r["partner_id"])) for r in got} == {frozenset((150, 160))}
+
+
 def test_chains_take_the_best_order():
     import numpy as np
 
