@@ -190,6 +190,27 @@ def test_a_passage_whose_pieces_are_frequent_elsewhere(spark):
     assert {frozenset((r["doc_id"], r["partner_id"])) for r in got} == {frozenset((150, 160))}
 
 
+def rounds_only(words, found):
+    return found.limit(0)
+
+
+def test_text_of_passages_found_has_further_partners(spark, monkeypatch):
+    """Without the step for equal windows: a passage that overlaps one of another pair, and second copies
+    of a passage in the smallest document that holds it."""
+    monkeypatch.setattr(substring, "equal_windows", rounds_only)
+    rows, spans = [], {}
+    for n in range(0, 200, 10):
+        p, q, r = prose(4000 + n, 100).split(), prose(4001 + n, 60).split(), prose(4002 + n, 80)
+        rows += [(n, f"{' '.join(p)} {prose(4003 + n, 20)}"), (n + 1, " ".join(p + q)), (n + 2, f"{prose(4004 + n, 20)} {' '.join(p[58:] + q[:20])}")]
+        rows += [(n + 3, f"{r} {prose(4005 + n, 90)} {r}"), (n + 4, f"{prose(4006 + n, 30)} {r}")]
+    for x in substring.repeated_passages(frame(spark, rows)).collect():
+        for d, s, e in ((x["doc_id"], x["start"], x["stop"]), (x["partner_id"], x["partner_start"], x["partner_stop"])):
+            spans.setdefault(d, []).append((s, e))
+    for n in range(0, 200, 10):
+        assert any(s <= 20 and e >= 82 for s, e in spans.get(n + 2, ())), n
+        assert {(0, 80), (170, 250)} <= set(spans[n + 3]), n
+
+
 def test_chains_take_the_best_order():
     import numpy as np
 
