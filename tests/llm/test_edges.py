@@ -211,6 +211,31 @@ def test_text_of_passages_found_has_further_partners(spark, monkeypatch):
         assert {(0, 80), (170, 250)} <= set(spans[n + 3]), n
 
 
+#: (words, percent equal): least share of passages, in tenths, of which a row covers nine tenths.
+EDITED = {(60, 95): 10, (60, 90): 10, (100, 93): 10, (100, 90): 10, (100, 85): 8, (200, 90): 10, (200, 87): 9, (200, 82): 9}
+
+
+def test_recall_of_edited_passages(spark):
+    """Passages with every so many words replaced, known by construction, ten of each kind."""
+    rows, kinds, spans = [], {}, {}
+    for (n, percent), i in ((kind, i) for kind in EDITED for i in range(10)):
+        d = 2 * len(kinds)
+        p = prose(5000 + d, n).split()
+        edits = round(n * (100 - percent) / 100)
+        at = {int((k + 0.5) * n / edits) for k in range(edits)}
+        edited = [f"edit{d}x{j}" if j in at else w for j, w in enumerate(p)]
+        rows += [(d, f"{prose(7000 + d, 40)} {' '.join(p)} {prose(8000 + d, 40)}"), (d + 1, f"{prose(7001 + d, 30)} {' '.join(edited)} {prose(8001 + d, 50)}")]
+        kinds[d] = (n, percent)
+    for r in substring.repeated_passages(frame(spark, rows)).collect():
+        assert r["matched"] * 200 >= substring.IDENTITY * (r["stop"] - r["start"] + r["partner_stop"] - r["partner_start"])
+        for d, other, s, e in ((r["doc_id"], r["partner_id"], r["start"], r["stop"]), (r["partner_id"], r["doc_id"], r["partner_start"], r["partner_stop"])):
+            if d in kinds and other == d + 1:
+                spans.setdefault(d, []).append(min(e, 40 + kinds[d][0]) - max(s, 40))
+    for kind, least in EDITED.items():
+        got = [max(spans.get(d, [0])) for d, k in kinds.items() if k == kind]
+        assert sum(n >= 0.9 * kind[0] for n in got) >= least, (kind, got)
+
+
 def test_chains_take_the_best_order():
     import numpy as np
 
