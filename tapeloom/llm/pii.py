@@ -10,7 +10,7 @@ the two words before it, and the words around it. Base spans are the seeds. Patt
 instances (the mentioned strings) form a graph. A round scores each pattern by the share of its
 instances that are believed to be of a kind, and each instance by the patterns that hold it: the
 chance that at least one of them is right. Patterns need SUPPORT believed instances and a share of PRECISION,
-instances a score of BELIEF, to count in the next round. Mentions of believed instances that overlap no base
+instances a score of BELIEF, to count in the next round. Rounds end when one adds and takes nothing. Mentions of believed instances that overlap no base
 span are the spans that the method adds.
 
 All of it are DataFrame functions. Edges are distinct pairs; a pattern or string that a third of the
@@ -43,7 +43,7 @@ BLOCK = 256
 #: Characters on either side of a mention that its patterns are taken from.
 CONTEXT = 80
 DIGITS = 5
-ROUNDS, SUPPORT, PRECISION, BELIEF = 3, 3, 0.6, 0.8
+SUPPORT, PRECISION, BELIEF = 3, 0.6, 0.8
 
 
 def _digits(s: Column) -> Column:
@@ -189,16 +189,20 @@ def scored_instances(graph: DataFrame, patterns: DataFrame, belief: float = BELI
     return best.select("instance", (-F.col("b.col2")).cast("int").alias("kind"))
 
 
-def discovered(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(instance, kind) that patterns of high confidence add to the seeds."""
+def discovered(graph: DataFrame) -> DataFrame:
+    """(instance, kind) that patterns of high confidence add to the seeds, after as many rounds as it takes
+    until one leaves them as they were. Instances whose kind goes to and fro could repeat several
+    states in turn; then the first that comes again is taken."""
     seeds = stored(graph.where("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind")), "seeds")
     graph = stored(graph.select("pattern", "instance").distinct(), "graph")
-    added = None
-    for _ in range(rounds):
+    added, now, before = None, (0, None), set()
+    while now not in before:
+        before.add(now)
         believed = seeds if added is None else seeds.unionByName(added)
         patterns = stored(scored_patterns(graph, believed), "patterns")
         found = scored_instances(graph, patterns)
         added = stored(found.join(seeds, "instance", "left_anti"), "added")
+        now = tuple(added.agg(F.count(F.lit(1)), F.sum(F.xxhash64("instance", "kind").cast("decimal(38,0)"))).first())
     return added
 
 

@@ -265,6 +265,18 @@ def test_contexts_discover_identifiers(spark):
     assert got[50] == "phone:18:29" and got[51] == "" and base_spans(rows[12][1]) == []
 
 
+def test_contexts_discover_identifiers_over_many_steps(spark):
+    """Each context holds what the one before it has added, and fewer others; the first holds base spans."""
+    sizes, name = (27, 18, 12, 8, 5, 3), lambda step: "abcdef"[step] * 4
+    text = lambda step, token, i: f"{name(step)} holds {token} {name(step)} {prose(900 + i, 3)}"
+    token = lambda step, i: f"+1 (415) 555-{1000 + i}" if not step else f"{step}15/55{step}{1000 + i}"
+    mentions = [(context, step, i) for step, n in enumerate(sizes) for i in range(n) for context in {max(step - 1, 0), step}]
+    rows = [(d, text(context, token(step, i), d)) for d, (context, step, i) in enumerate(mentions)]
+    rows.append((len(rows), f"order number {token(9, 9)} then"))
+    got = {r["doc_id"]: r["spans"] for r in pii.personal_data(frame(spark, rows)).collect()}
+    assert [d for d in range(len(rows)) if not got[d].startswith("phone:11:")] == [len(rows) - 1]
+
+
 def test_bpe_of_odd_texts(spark):
     r = random.Random(4)
     pool = "aAbZ 1²İ\n\t\x0b\x1c\x85  's漢字😀՘₏Ɤ\U00010d40\U0003fc3b!?…<|endoftext|>_"
