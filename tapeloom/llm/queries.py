@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, substring, url_filter
+from tapeloom.llm import (
+    bpe, chat, decontaminate, kneser_ney, line_dedup, merkle, minhash, pii, quality_rules, revisits, spelling, substring, url_filter,
+)
 from tapeloom.llm.common import table
 
 
@@ -91,6 +93,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.verified(docs, F.when(chosen, F.translate("text", "\n", "")))
+
+
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.document_scores(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_decontaminate": op1_decontaminate,
@@ -103,6 +119,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_minhash": op9_minhash,
         "op10_bpe": op10_bpe,
+        "op11_merkle": op11_merkle,
+        "op12_lm_scores": op12_lm_scores,
+        "op13_spelling": op13_spelling,
     }
 
 
