@@ -45,8 +45,8 @@ LEAST_COUNT = 3
 LETTER_GROUPS = tuple("eainrstoludcmpgbhvf")
 #: Levels of the trie: the length, the groups, the rest.
 DEPTH = len(LETTER_GROUPS) + 2
-NODE_WORDS = 4_000
-SEARCHES = 16_000
+NODE_WORDS = 20_000
+SEARCHES = 60_000
 #: Distinct runs that a task counts before it sends them on.
 GATHERED = 1_000_000
 _GROUP = {letter: i for i, group in enumerate(LETTER_GROUPS) for letter in group}
@@ -93,16 +93,18 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def letter_counts(word: Column) -> Column:
-    """The word's place in the trie: its length, its letters of each group, and of none."""
+def letter_count(word: Column, level: int) -> Column:
+    """A word's count at a level of the trie: its length, its letters of a group, or those of none."""
     length = F.char_length(word)
-    groups = [length - F.char_length(F.translate(word, group, "")) for group in LETTER_GROUPS]
-    rest = F.char_length(F.translate(word, "".join(LETTER_GROUPS), ""))
-    return F.array(length, *groups, rest)
+    if level == 0:
+        return length
+    if level == DEPTH - 1:
+        return F.char_length(F.translate(word, "".join(LETTER_GROUPS), ""))
+    return length - F.char_length(F.translate(word, LETTER_GROUPS[level - 1], ""))
 
 
 def counts_of(word: str) -> tuple[int, ...]:
-    """letter_counts of one word."""
+    """All counts of one word."""
     out = [len(word)] + [0] * (DEPTH - 1)
     for letter in word:
         out[_GROUP.get(letter, DEPTH - 2) + 1] += 1
@@ -114,7 +116,7 @@ def counts_of(word: str) -> tuple[int, ...]:
 
 def _steps(depth: int) -> Column:
     """The children that a search may go to at the level depth, with what is left of its budget."""
-    count, surplus, deficit = F.col("counts")[depth], F.col("surplus"), F.col("deficit")
+    count, surplus, deficit = letter_count(F.col("word"), depth), F.col("surplus"), F.col("deficit")
     step = lambda c, s, d: F.struct(c.alias("count"), s.alias("surplus"), d.alias("deficit"))
     if depth == 0:  # a longer word has a surplus and no deficit
         zero, one = F.lit(0), F.lit(1)
@@ -127,16 +129,16 @@ def _steps(depth: int) -> Column:
 
 def _cut(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The words of each node of the cut, and the searches that reach it: (node, depth, words of the node, ...)."""
-    members = words.select("word", "n", "counts", F.lit("").alias("node"))
-    searches = words.select("word", "counts", F.lit("").alias("node"), F.lit(1).alias("surplus"), F.lit(1).alias("deficit"))
+    members = words.select("word", "n", F.lit("").alias("node"))
+    searches = words.select("word", F.lit("").alias("node"), F.lit(1).alias("surplus"), F.lit(1).alias("deficit"))
     cut_members, cut_searches = [], []
     for depth in range(DEPTH):
-        below = F.concat_ws(",", "node", F.col("counts")[depth])
+        below = F.concat_ws(",", "node", letter_count(F.col("word"), depth))
         members = stored(members.withColumn("node", below), "trie-words")
         nodes = members.groupBy("node").agg(F.count(F.lit(1)).alias("size"))
         nodes = stored(nodes.withColumn("depth", F.lit(depth + 1)), "trie-nodes")
-        steps = searches.select("word", "counts", "node", F.inline(_steps(depth)))
-        steps = stored(steps.select("word", "counts", F.concat_ws(",", "node", "count").alias("node"), "surplus", "deficit"), "trie-steps")
+        steps = searches.select("word", "node", F.inline(_steps(depth)))
+        steps = stored(steps.select("word", F.concat_ws(",", "node", "count").alias("node"), "surplus", "deficit"), "trie-steps")
         searches = stored(salted_join(steps, nodes, ["node"], "word"), "trie-searches")
         members = stored(salted_join(members, nodes, ["node"], "word"), "trie-words")
         done = F.lit(True) if depth == DEPTH - 1 else F.col("size") <= NODE_WORDS
@@ -219,7 +221,6 @@ def _search(searches: pa.Table, members: pa.Table) -> pa.Table:
 
 def nearest(words: DataFrame) -> DataFrame:
     """(word, n_near, best_n, best) of the words (word, n) that have near words."""
-    words = words.select("word", "n", letter_counts(F.col("word")).alias("counts"))
     members, searches = _cut(words)
     splits = F.expr(f"(size - 1) div {NODE_WORDS} + 1")  # more than one for a large leaf
     shares = searches.groupBy("node").agg(F.count(F.lit(1)).alias("searches"))
