@@ -58,7 +58,11 @@ def sum_of_rounded(value: Column | str, places: int = 2) -> Column:
 
 def mean_of_rounded(value: Column | str, places: int = 2) -> Column:
     """Mean rounded half away from zero to the precision of its input; NULL over nothing."""
-    total, n = exact_sum(value, places), F.count(_col(value))
+    return mean_of_units(exact_sum(value, places), F.count(_col(value)), places)
+
+
+def mean_of_units(total: Column, n: Column, places: int) -> Column:
+    """The same from a sum in units of the last place and a count."""
     magnitude = div(2 * F.abs(total) + n, 2 * n)
     return F.when(n > 0, F.when(total < 0, -magnitude).otherwise(magnitude) / 10**places)
 

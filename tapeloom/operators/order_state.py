@@ -73,14 +73,14 @@ def _with_slices(actions: DataFrame) -> DataFrame:
     return ordered.withColumn("slice", F.spark_partition_id())
 
 
-def _sliced(actions: DataFrame) -> DataFrame:
+def _with_prefixes(actions: DataFrame) -> DataFrame:
     """Actions with their position, and what precedes each inside its own slice."""
     kind = F.col("acts")
     earlier = _before(*_SLICE, order=("ts", "action_id"))
     open_size = (kind == "ADJUST_SIZE") & (F.col("qty") > 0) & ~F.col("cancel_seen")
     open_price = (kind == "ADJUST_PRICE") & (F.col("price_limit") > 0) & ~F.col("cancel_seen")
     dated = with_defaults(actions, {**TABLES["actions"].defaults, "ts": F.current_timestamp()})
-    sliced = (
+    return (
         _with_slices(_once(dated))
         .withColumn("seq", F.struct("ts", "action_id"))
         .withColumn("cancel_seen", F.coalesce(F.max(kind == "CANCEL").over(earlier), F.lit(False)))
@@ -94,6 +94,11 @@ def _sliced(actions: DataFrame) -> DataFrame:
             for name in ("size", "price", "hedge")
         })
     )
+
+
+def _sliced(actions: DataFrame) -> DataFrame:
+    """The same, stored, since slices have to stay as they are."""
+    sliced = _with_prefixes(actions)
     path = scratch_dir(actions.sparkSession, "sliced-actions")
     sliced.write.parquet(path)
     return actions.sparkSession.read.schema(sliced.schema).parquet(path)

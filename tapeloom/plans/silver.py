@@ -94,15 +94,37 @@ def enriched_executions(execs: DataFrame, orders: DataFrame, signed: bool = Fals
     parents = orders.select(
         "order_id", "qty", "arrival_price", "etf_ticker", "trader_id", "direction"
     ).hint("merge")
+    return priced_fills(execs.join(parents, "order_id", "left"), signed)
+
+
+def priced_fills(fills: DataFrame, signed: bool = False) -> DataFrame:
+    """Slippage and notional of fills that have the attributes of their order."""
     slippage = bps_from(F.col("fill_price"), F.col("arrival_price"))
     if signed:
         slippage = F.when(F.col("direction") == "SELL", -slippage).otherwise(slippage)
     arrived = F.coalesce(F.col("arrival_price") > 0, F.lit(False))
-    return execs.join(parents, "order_id", "left").withColumns({
+    return fills.withColumns({
         "slippage_bps": F.round(F.when(arrived, slippage).otherwise(0.0), 2),
         "fill_notional": F.round(F.col("fill_qty") * F.col("fill_price"), 2),
     }).select(*TABLES["executions_silver"].columns)
 
 
+def matched_executions(execs: DataFrame, orders: DataFrame, within: str, late: str = "1 day") -> DataFrame:
+    """Two streams, fills and orders, as silver fills; either may come first.
+
+    Each side waits in the state for the other until the watermarks (the later `late` behind the
+    newest row of each stream) show that no partner can come: a fill and its order are at most
+    `within` apart in time. A fill without an order by then goes on without attributes.
+    """
+    parents = orders.select(
+        F.col("order_id").alias("parent_id"), "created_at", "qty", "arrival_price", "etf_ticker", "trader_id", "direction"
+    ).withWatermark("created_at", late)
+    near = F.expr(
+        "order_id = parent_id AND exec_time >= created_at - INTERVAL {0} AND exec_time <= created_at + INTERVAL {0}".format(within)
+    )
+    joined = execs.withWatermark("exec_time", late).join(parents, near, "leftOuter")
+    return expect_or_drop(priced_fills(joined), EXECUTION_RULES)
+
+
 def executions_silver(execs: DataFrame, orders: DataFrame, signed: bool = False) -> DataFrame:
     return expect_or_drop(enriched_executions(execs, orders, signed), EXECUTION_RULES)

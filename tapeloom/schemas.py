@@ -164,6 +164,17 @@ TABLES: dict[str, Table] = {
         defaults={"filled_qty": 0, "status": "PENDING", "fill_rate": 0.0},
         storage="snapshots",
     ),
+    # syncs from upstream on their way to the live orders, in the same shape
+    "live_order_updates": Table(
+        "order_id string, etf_ticker string, etf_name string, trader_id string, direction string, "
+        "qty int, filled_qty bigint, price_limit double, order_type string, status string, "
+        "strategy string, created_at timestamp, last_updated timestamp, arrival_price double, "
+        "notional_value double, avg_fill_price double, avg_slippage_bps double, "
+        "fill_rate double, assigned_hedge_id string",
+        not_null=("order_id", "etf_ticker", "trader_id", "direction", "qty", "filled_qty", "status"),
+        domains={"direction": DIRECTIONS},
+        defaults={"filled_qty": 0, "status": "PENDING", "fill_rate": 0.0},
+    ),
     "rejected_live_orders": Table(
         "order_id string, reason string, row string",
         storage="snapshots",

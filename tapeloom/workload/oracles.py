@@ -531,6 +531,14 @@ _FINAL: dict[str, str] = {
     "stream_market_snapshot": "SELECT * FROM snapshot",
     "stream_gold_refresh": "SELECT * FROM analytics",
     "stream_order_actions": "SELECT * FROM state",
+    "stream_gold_incremental": "SELECT * FROM analytics",
+    "stream_trader_days": "SELECT * FROM performance",
+    "stream_early_fills": "SELECT * FROM executions_s",
+    "live_orders_interleaved": f"""
+        SELECT t.* REPLACE (s.status AS status, s.filled_qty AS filled_qty, s.avg_fill_price AS avg_fill_price,
+          s.avg_slippage_bps AS avg_slippage_bps, s.fill_rate AS fill_rate, {_ORDERS_NOW} AS last_updated)
+        FROM state t JOIN sync_source s ON t.order_id = s.order_id""",
+    "stream_actions_redelivered": "SELECT * FROM state",
 }
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.operators import hedging, order_state, quality, upsert
-from tapeloom.plans import gold, kpis, read_models, silver
+from tapeloom.plans import gold, incremental, kpis, read_models, silver
 from tapeloom.plans.refresh import current_prices
 from tapeloom.schemas import TABLES
 from tapeloom.session import scratch_dir, tune
@@ -21,15 +21,22 @@ from tapeloom.sources.layout import (
     read_table,
     run_sql,
     table_row_counts,
+    write_batch,
     write_table,
     write_version,
 )
+from tapeloom.streaming.incremental import start_matched_executions, start_order_gold
+from tapeloom.streaming.live import read_live_orders, start_live_orders
 from tapeloom.streaming.jobs import ONCE, start_actions, start_gold, start_silver
 
 # The state before the sync of `live_orders_merge`: orders created until then.
 LAST_SYNC = "1999-01-01 00:00:00"
 # Between the two arrivals of actions in `stream_order_actions`.
 MIDWAY = "2024-01-15 00:00:00"
+# Fills until then arrive before the orders in `stream_early_fills`; the closing rows are far behind all others.
+FILLS_MIDWAY = "1998-06-01 00:00:00"
+FEW_BUCKETS = 8  # each batch of these streams touches all of them
+CLOSING = "2031-01-01 00:00:00"
 
 
 class Desk:
@@ -313,6 +320,101 @@ def _stream_order_actions(d: Desk) -> DataFrame:
     return read_table(d.spark, layout, "live_orders")
 
 
+def _run(*started) -> None:
+    for query in started:
+        query.awaitTermination()
+
+
+def _store_funds(d: Desk, layout: Layout) -> None:
+    full = d.etf_reference.select("*", *[
+        F.lit(None).cast(t).alias(c)
+        for c, t in (("benchmark", "string"), ("intraday_iv", "double"), ("base_price", "double"))
+    ])
+    write_table(full, layout, "etf_reference")
+
+
+def _gold_by_batch(d: Desk) -> Layout:
+    """Orders and fills in five arrivals, some fills before their order; gold follows each."""
+    layout = Layout(scratch_dir(d.spark, "gold-by-batch"))
+    _store_funds(d, layout)
+    write_table(d.raw_orders, layout, "raw_orders")
+    _run(start_silver(d.spark, layout, "orders_silver", ONCE, as_of=ORDERS_AS_OF))
+    write_table(d.executions, layout, "executions_silver", mode="overwrite")
+    orders, executions = (read_table(d.spark, layout, n) for n in ("orders_silver", "executions_silver"))
+    arrived = Layout(f"{layout.root}/arrived")
+    key = F.pmod(F.xxhash64("order_id"), F.lit(3))
+    share = F.pmod(F.xxhash64("exec_id"), F.lit(3))
+    arrivals = (
+        (None, executions.where(share == 0)),
+        (orders.where(key == 0), None),
+        (orders.where(key == 1), executions.where(share == 1)),
+        (None, executions.where(share == 2)),
+        (orders.where(key == 2), None),
+    )
+    for number, (more_orders, fills) in enumerate(arrivals):
+        if more_orders is not None:
+            write_batch(more_orders, arrived, "orders_silver", number)
+        if fills is not None:
+            write_batch(fills, arrived, "executions_silver", number)
+        _run(start_order_gold(d.spark, arrived, ONCE, buckets=FEW_BUCKETS))
+    return arrived
+
+
+def _stream_gold_incremental(d: Desk) -> DataFrame:
+    return incremental.read_order_analytics(d.spark, _gold_by_batch(d))
+
+
+def _stream_trader_days(d: Desk) -> DataFrame:
+    return incremental.read_trading_performance(d.spark, _gold_by_batch(d))
+
+
+def _stream_early_fills(d: Desk) -> DataFrame:
+    """Half of the fills arrive before any order; a last order and fill of no size close the day, after
+    which fills without an order go on too."""
+    layout = Layout(scratch_dir(d.spark, "early-fills"))
+    early = F.col("exec_time") < FILLS_MIDWAY
+    later = F.to_timestamp(F.lit(CLOSING))
+    no_fill = d.raw_executions.limit(1).withColumns({"exec_time": later, "fill_qty": F.lit(0)})
+    no_order = d.raw_orders.limit(1).withColumns({"created_at": later, "order_id": F.lit("CLOSING")})
+    for name, rows in (
+        ("raw_executions", d.raw_executions.where(early)),
+        ("raw_orders", d.raw_orders),
+        ("raw_executions", d.raw_executions.where(~early)),
+        ("raw_executions", no_fill),
+    ):
+        write_table(rows, layout, name)
+        if rows is no_fill:
+            write_table(no_order, layout, "raw_orders")
+        _run(start_matched_executions(d.spark, layout, ONCE, within="3000 DAYS"))
+    return read_table(d.spark, layout, "executions_silver")
+
+
+def _live_arrivals(d: Desk, *arrivals: tuple[DataFrame | None, DataFrame | None]) -> DataFrame:
+    """Live orders after arrivals of syncs and actions at one stream."""
+    layout = Layout(scratch_dir(d.spark, "live"))
+    write_version(d.snapshot, layout, "market_snapshot_gold")
+    for updates, actions in arrivals:
+        if updates is not None:
+            write_table(updates, layout, "live_order_updates")
+        if actions is not None:
+            write_table(actions, layout, "actions")
+        _run(start_live_orders(d.spark, layout, ONCE, repeats="60 days", buckets=FEW_BUCKETS))
+    return read_live_orders(d.spark, layout)
+
+
+def _live_orders_interleaved(d: Desk) -> DataFrame:
+    """A sync together with actions, more actions, and the sync again."""
+    early = F.col("ts") < MIDWAY
+    return _live_arrivals(d, (d.live, d.actions.where(early)), (None, d.actions.where(~early)), (d.live, None))
+
+
+def _stream_actions_redelivered(d: Desk) -> DataFrame:
+    """Actions of which some are delivered again two batches later."""
+    early = F.col("ts") < MIDWAY
+    again = d.actions.where(early & (F.col("action_id") % 3 == 0))
+    return _live_arrivals(d, (d.live, d.actions.where(early)), (None, d.actions.where(~early)), (None, again))
+
+
 _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "market_silver": lambda d: d.market,
     "orders_silver": lambda d: d.orders,
@@ -382,6 +484,11 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "stream_market_snapshot": _stream_market_snapshot,
     "stream_gold_refresh": _stream_gold_refresh,
     "stream_order_actions": _stream_order_actions,
+    "stream_gold_incremental": _stream_gold_incremental,
+    "stream_trader_days": _stream_trader_days,
+    "stream_early_fills": _stream_early_fills,
+    "live_orders_interleaved": _live_orders_interleaved,
+    "stream_actions_redelivered": _stream_actions_redelivered,
 }
 
 

@@ -5,14 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tapeloom.operators.order_state import judge_actions
+from tapeloom.operators.order_state import _with_prefixes
 from tapeloom.operators.touched import keys_of, split_by_keys
 from tapeloom.plans.gold import fills_per_order, order_analytics_gold
 from tapeloom.plans.silver import executions_silver, orders_silver
 from tapeloom.sources import layout as store
 from tapeloom.sources.dimensions import dimension
 from tapeloom.workload.queries import Desk, queries
-from tests.helpers import FILL, LIVE, ORDER, table
+from tests.helpers import FILL, ORDER, table
 
 DIRECTORY = "/root/testdata/sf0.001"
 STREAMS = {n for n in queries() if n.startswith("stream_")} | {"order_summary_file"}
@@ -107,13 +107,11 @@ def test_fills_are_aggregated_before_the_join(spark):
 
 
 def test_a_window_over_actions_never_spans_an_order(spark):
-    live = table(spark, "live_orders", [dict(order_id="a")], **LIVE)
     acts = table(spark, "actions", [dict(action_id=1, order_id="a", action_type="CANCEL")])
-    prices = table(spark, "market_snapshot_gold", [dict(ticker="SPY", last_price=1.0)])
-    plan = plan_of(judge_actions(live, acts, prices))
-    windows = re.findall(r"windowspecdefinition\(([^)]*)", plan)
-    over_actions = [w for w in windows if "action_id#" in w]
-    assert over_actions and all("slice#" in w.split("ASC")[0] for w in over_actions)
+    windows = re.findall(r"windowspecdefinition\(([^)]*)", plan_of(_with_prefixes(acts)))
+    over_slices = [w for w in windows if "order_id#" in w]
+    assert over_slices and all("slice#" in w.split("ASC")[0] for w in over_slices)
+    assert all("action_id#" in w.split("ASC")[0] for w in windows if w not in over_slices)  # repeats of one id
 
 
 def test_ticks_are_combined_before_any_shuffle_by_ticker(spark):
