@@ -114,7 +114,8 @@ def matched_executions(execs: DataFrame, orders: DataFrame, within: str, late: s
 
     Each side waits in the state for the other until the watermarks (the later `late` behind the
     newest row of each stream) show that no partner can come: a fill and its order are at most
-    `within` apart in time. A fill without an order by then goes on without attributes.
+    `within` apart in time. A fill without an order by then goes on without attributes. Rows that a rule
+    drops don't move the watermark on, since the rule is applied where they are read.
     """
     parents = orders.select(
         F.col("order_id").alias("parent_id"), "created_at", "qty", "arrival_price", "etf_ticker", "trader_id", "direction"

@@ -369,22 +369,22 @@ def _stream_trader_days(d: Desk) -> DataFrame:
 
 
 def _stream_early_fills(d: Desk) -> DataFrame:
-    """Half of the fills arrive before any order; a last order and fill of no size close the day, after
-    which fills without an order go on too."""
+    """Half of the fills arrive before any order. A last fill and order, far behind the others, move the
+    watermark on, after which fills without an order go on too; that fill itself waits for its order."""
     layout = Layout(scratch_dir(d.spark, "early-fills"))
     early = F.col("exec_time") < FILLS_MIDWAY
     later = F.to_timestamp(F.lit(CLOSING))
-    no_fill = d.raw_executions.limit(1).withColumns({"exec_time": later, "fill_qty": F.lit(0)})
-    no_order = d.raw_orders.limit(1).withColumns({"created_at": later, "order_id": F.lit("CLOSING")})
+    last_fill = d.raw_executions.where("fill_qty > 0").limit(1).withColumns({"exec_time": later, "order_id": F.lit("AWAITED")})
+    last_order = d.raw_orders.limit(1).withColumns({"created_at": later, "order_id": F.lit("CLOSING")})
     for name, rows in (
         ("raw_executions", d.raw_executions.where(early)),
         ("raw_orders", d.raw_orders),
         ("raw_executions", d.raw_executions.where(~early)),
-        ("raw_executions", no_fill),
+        ("raw_executions", last_fill),
     ):
         write_table(rows, layout, name)
-        if rows is no_fill:
-            write_table(no_order, layout, "raw_orders")
+        if rows is last_fill:
+            write_table(last_order, layout, "raw_orders")
         _run(start_matched_executions(d.spark, layout, ONCE, within="3000 DAYS"))
     return read_table(d.spark, layout, "executions_silver")
 

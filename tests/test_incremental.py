@@ -131,7 +131,7 @@ def test_streamed_fills_wait_for_their_orders(spark, place):
     arrive("raw_executions", dict(exec_id="next", fill_price=10.0), **FILL)
     assert run() == {"early": 1000.0, "next": 0.0}
     later = ts("2024-03-01 00:00:00")
-    arrive("raw_executions", dict(exec_id="close", exec_time=later, fill_qty=0), **FILL)
+    arrive("raw_executions", dict(exec_id="close", exec_time=later, order_id="awaited"), **FILL)
     arrive("raw_orders", dict(order_id="close", created_at=later), **ORDER)
     assert run() == {"early": 1000.0, "next": 0.0, "lost": 0.0}
 
