@@ -37,16 +37,21 @@ def expect_or_drop(df: DataFrame, rules: Rules) -> DataFrame:
     return df
 
 
-def expectation_metrics(df: DataFrame, rules: Rules) -> DataFrame:
-    """Passed and failed rows per rule, and rows kept by all of them, in one pass."""
+def rule_counts(rules: Rules) -> list[Column]:
+    """Aggregates: total rows, rows kept by all rules, rows that hold each, as rule_0 and so on."""
     kept = F.lit(True)
     for predicate in rules.values():
         kept = kept & _holds(predicate)
-    counts = df.agg(
+    return [
         F.count(F.lit(1)).alias("total"),
         F.count_if(kept).alias("kept"),
         *[F.count_if(_holds(p)).alias(f"rule_{i}") for i, p in enumerate(rules.values())],
-    )
+    ]
+
+
+def expectation_metrics(df: DataFrame, rules: Rules) -> DataFrame:
+    """Passed and failed rows per rule, and rows kept by all of them, in one pass."""
+    counts = df.agg(*rule_counts(rules))
     per_rule = F.array(*[
         F.struct(F.lit(name).alias("rule"), F.col(f"rule_{i}").alias("passed"))
         for i, name in enumerate(rules)

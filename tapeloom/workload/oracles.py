@@ -534,6 +534,17 @@ _FINAL: dict[str, str] = {
     "stream_gold_incremental": "SELECT * FROM analytics",
     "stream_trader_days": "SELECT * FROM performance",
     "stream_early_fills": "SELECT * FROM executions_s",
+    "stream_expectations": _union([
+        f"""SELECT 'orders_silver' AS table_name, CAST(batch AS BIGINT) AS batch, '{rule}' AS rule,
+          count(*) FILTER ({predicate}) AS passed, count(*) - count(*) FILTER ({predicate}) AS failed,
+          count(*) AS total, count(*) FILTER (order_id IS NOT NULL AND qty > 0) AS kept
+        FROM (SELECT *, CASE WHEN created_at < TIMESTAMP '1997-01-01' THEN 0
+                WHEN created_at < TIMESTAMP '1999-01-01' THEN 1 ELSE 2 END AS batch FROM raw_orders) GROUP BY batch"""
+        for rule, predicate in (("valid_order_id", "order_id IS NOT NULL"), ("valid_qty", "qty > 0"))
+    ]),
+    "stream_late_rows": f"""
+        SELECT 'market_data_silver' AS query, CAST(count(*) AS BIGINT) AS late_rows FROM tick_dedup WHERE {LATE}""",
+    "stream_restarted": "SELECT * FROM orders_s",
     "live_orders_interleaved": f"""
         SELECT t.* REPLACE (s.status AS status, s.filled_qty AS filled_qty, s.avg_fill_price AS avg_fill_price,
           s.avg_slippage_bps AS avg_slippage_bps, s.fill_rate AS fill_rate, {_ORDERS_NOW} AS last_updated)

@@ -25,6 +25,7 @@ from tapeloom.sources.layout import (
     write_table,
     write_version,
 )
+from tapeloom.streaming import checked
 from tapeloom.streaming.incremental import start_matched_executions, start_order_gold
 from tapeloom.streaming.live import read_live_orders, start_live_orders
 from tapeloom.streaming.jobs import ONCE, start_actions, start_gold, start_silver
@@ -389,6 +390,50 @@ def _stream_early_fills(d: Desk) -> DataFrame:
     return read_table(d.spark, layout, "executions_silver")
 
 
+def _order_arrivals(d: Desk) -> list[DataFrame]:
+    """Orders in three arrivals by the year of their creation."""
+    first, second = F.col("created_at") < "1997-01-01", F.col("created_at") < "1999-01-01"
+    return [d.raw_orders.where(first), d.raw_orders.where(~first & second), d.raw_orders.where(~second)]
+
+
+def _stream_expectations(d: Desk) -> DataFrame:
+    """How many orders of each batch hold each expectation, counted while they are written."""
+    layout = Layout(scratch_dir(d.spark, "counted"))
+    _store_funds(d, layout)
+    for arrival in _order_arrivals(d):
+        write_table(arrival, layout, "raw_orders")
+        _run(checked.start_counted_silver(d.spark, layout, "orders_silver", ONCE, as_of=ORDERS_AS_OF))
+    return checked.read_metrics(d.spark, layout, "orders_silver")
+
+
+def _stream_late_rows(d: Desk) -> DataFrame:
+    """The number of ticks that came after the watermark."""
+    layout = Layout(scratch_dir(d.spark, "late"))
+    ticks = silver.unique_ticks(d.raw_market_data).select(*TABLES["raw_market_data"].columns)
+    late, older = F.coalesce(F.expr(LATE), F.lit(False)), F.col("event_time") < MIDWAY
+    for arrival in (ticks.where(older & ~late), ticks.where(~older), ticks.where(late)):
+        write_table(arrival, layout, "raw_market_data")
+        query = checked.start_counted_silver(d.spark, layout, "market_data_silver", ONCE)
+        _run(query)
+        checked.append_late_rows(layout, query)
+    rows = checked.read_late_rows(d.spark, layout)
+    return rows.groupBy("query").agg(F.sum("late_rows").alias("late_rows"))
+
+
+def _stream_restarted(d: Desk) -> DataFrame:
+    """Orders streamed file by file, stopped after some batches, and taken up again from the checkpoint."""
+    layout = Layout(scratch_dir(d.spark, "restarted"))
+    _store_funds(d, layout)
+    for arrival in _order_arrivals(d):
+        write_table(arrival.repartition(2), layout, "raw_orders")
+    query = start_silver(d.spark, layout, "orders_silver", {"processingTime": "100 milliseconds"}, max_files=1, as_of=ORDERS_AS_OF)
+    while query.isActive and not (query.lastProgress and query.lastProgress["batchId"] >= 1):
+        query.awaitTermination(0.2)
+    query.stop()
+    _run(start_silver(d.spark, layout, "orders_silver", ONCE, max_files=1, as_of=ORDERS_AS_OF))
+    return read_table(d.spark, layout, "orders_silver")
+
+
 def _live_arrivals(d: Desk, *arrivals: tuple[DataFrame | None, DataFrame | None]) -> DataFrame:
     """Live orders after arrivals of syncs and actions at one stream."""
     layout = Layout(scratch_dir(d.spark, "live"))
@@ -487,6 +532,9 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "stream_gold_incremental": _stream_gold_incremental,
     "stream_trader_days": _stream_trader_days,
     "stream_early_fills": _stream_early_fills,
+    "stream_expectations": _stream_expectations,
+    "stream_late_rows": _stream_late_rows,
+    "stream_restarted": _stream_restarted,
     "live_orders_interleaved": _live_orders_interleaved,
     "stream_actions_redelivered": _stream_actions_redelivered,
 }
