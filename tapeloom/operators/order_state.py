@@ -360,6 +360,11 @@ def audit_trail(audit: DataFrame, orders: DataFrame) -> DataFrame:
     return audit.join(wanted, "order_id", "left_semi").orderBy("order_id", "ts", "action_id")
 
 
+def audit_of_order(audit: DataFrame, order_id: str) -> DataFrame:
+    """The audit rows of one order; of a table stored by order_id one bucket is read."""
+    return audit.where(F.col("order_id") == order_id).orderBy("ts", "action_id")
+
+
 def adjustment_preview(live_orders: DataFrame, actions: DataFrame) -> DataFrame:
     """What each size or price change would do to notional and size; nothing is applied."""
     current = live_orders.select(

@@ -264,6 +264,12 @@ def stored_price_history(
     return price_history(read_table(spark, layout, name, since=start), as_of, ticker, hours)
 
 
+def stored_price_history_day(spark: SparkSession, layout: Layout, as_of: Moment = None) -> DataFrame:
+    """`price_history_day` of stored silver, of which only the folders of the trailing day are read."""
+    start = moment(as_of) - F.expr("INTERVAL 1 DAY")
+    return price_history_day(read_table(spark, layout, "market_data_silver", since=start), as_of)
+
+
 # -- traders and instruments -------------------------------------------------
 
 

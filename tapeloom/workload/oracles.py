@@ -343,6 +343,9 @@ _FINAL: dict[str, str] = {
     "price_history_day": f"""
         SELECT ticker, event_time, last_price, vwap, bid, ask, volume FROM market
         WHERE event_time >= {_MARKET_NOW} - INTERVAL 1 DAY""",
+    "price_history_day_stored": f"""
+        SELECT ticker, event_time, last_price, vwap, bid, ask, volume FROM market
+        WHERE event_time >= {_MARKET_NOW} - INTERVAL 1 DAY""",
     "price_history_ticker": "SELECT * FROM history",
     "price_history_stored": "SELECT * FROM history",
     "prices_from_bronze": """
@@ -494,6 +497,7 @@ _FINAL: dict[str, str] = {
         FROM accepted WHERE action_type = 'HEDGE'""",
     "audit_by_order": f"""{_OPENED_AUDIT}
         WHERE order_id IN (SELECT order_id FROM live WHERE status = 'PENDING')""",
+    "audit_of_order": f"{_OPENED_AUDIT} WHERE order_id = 'ORD-7'",
     "adjustment_preview": """
         SELECT a.action_id, a.order_id, a.action_type,
           CASE WHEN a.action_type = 'ADJUST_SIZE'

@@ -20,6 +20,7 @@ from tapeloom.sources.layout import (
     read_stream,
     read_table,
     run_sql,
+    save_bucketed,
     table_row_counts,
     write_batch,
     write_table,
@@ -240,6 +241,20 @@ def _price_history_stored(d: Desk) -> DataFrame:
     return read_models.stored_price_history(d.spark, layout, MARKET_AS_OF, "SPY", hours=8)
 
 
+def _price_history_day_stored(d: Desk) -> DataFrame:
+    """The day's chart from stored silver."""
+    layout = Layout(scratch_dir(d.spark, "stored-silver"))
+    write_table(d.market, layout, "market_data_silver", mode="overwrite")
+    return read_models.stored_price_history_day(d.spark, layout, MARKET_AS_OF)
+
+
+def _audit_of_order(d: Desk) -> DataFrame:
+    """The audit trail of one order from rows stored by order."""
+    layout = Layout(scratch_dir(d.spark, "audit"))
+    stored = save_bucketed(d.after_actions.audit, layout, "order_actions", buckets=16)
+    return _opened(order_state.audit_of_order(stored, "ORD-7"))
+
+
 def _prices_from_bronze(d: Desk) -> DataFrame:
     """Current prices where there is no snapshot yet."""
     layout = Layout(scratch_dir(d.spark, "bronze"))
@@ -480,6 +495,8 @@ _QUERIES: dict[str, Callable[[Desk], DataFrame]] = {
     "price_history_day": lambda d: read_models.price_history_day(d.market, MARKET_AS_OF),
     "price_history_ticker": _price_history,
     "price_history_stored": _price_history_stored,
+    "price_history_day_stored": _price_history_day_stored,
+    "audit_of_order": _audit_of_order,
     "prices_from_bronze": _prices_from_bronze,
     "order_summary_file": _order_summary_file,
     "live_orders_parsed": _live_orders_parsed,

@@ -137,6 +137,21 @@ def test_stored_history_reads_the_folders_of_its_window(spark):
     assert re.search(r"PartitionFilters: \[[^\]]*event_time_day", plan)
 
 
+def test_stored_silver_reads_the_folders_of_the_day(spark):
+    plan = plan_of(queries()["price_history_day_stored"](spark, DIRECTORY))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_time_day", plan)
+
+
+def test_the_audit_of_an_order_reads_one_bucket(spark):
+    # Spark prunes the files of the other buckets either way, but shows it only where it reads by bucket.
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    try:
+        plan = plan_of(queries()["audit_of_order"](spark, DIRECTORY))
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
+    assert "SelectedBucketsCount: 1 out of 16" in plan
+
+
 def test_top_k_does_not_sort_everything(spark):
     plan = plan_of(queries()["order_blotter"](spark, DIRECTORY))
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
