@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 
@@ -150,16 +151,17 @@ def write_batch(df: DataFrame, layout: Layout, name: str, batch: int) -> None:
 
 
 def write_version(
-    df: DataFrame, layout: Layout, name: str, version: int | None = None, writer: str = ""
+    df: DataFrame, layout: Layout, name: str, version: int | None = None, writer: str = "", after: int | None = None
 ) -> int:
     """Write a complete new version beside the old ones; readers switch once it is whole.
 
-    A version that exists is only replaced by its own writer, which then retries.
+    A version that exists is only replaced by its own writer, which then retries. Without a number, the next one
+    is taken, or the one `after` the version that df was made from: it is made aside and refused if another
+    writer has begun that version meanwhile.
     """
     if version is None:
-        known = versions(df.sparkSession, layout, name)
-        version = known[-1] + 1 if known else 0
-    elif exists(df.sparkSession, f"{(path := layout.version(name, version))}/_SUCCESS"):
+        return _write_next_version(df, layout, name, after)
+    if exists(df.sparkSession, f"{(path := layout.version(name, version))}/_SUCCESS"):
         made_by = f"{path}/_writer"
         if not exists(df.sparkSession, made_by) or df.sparkSession.read.text(made_by).first()[0] != writer:
             raise RuntimeError(f"version {version} of {name} was made by another writer")
@@ -170,6 +172,19 @@ def write_version(
     return version
 
 
+def _write_next_version(df: DataFrame, layout: Layout, name: str, after: int | None) -> int:
+    spark = df.sparkSession
+    known = versions(spark, layout, name) if after is None else [after]
+    version = known[-1] + 1 if known else 0
+    aside, fs = _folder(spark, f"{layout.path(name)}/_making-{uuid.uuid4().hex}")
+    conform(df, name).write.parquet(aside.toString())
+    place, _ = _folder(spark, layout.version(name, version))
+    if fs.exists(place) or not fs.rename(aside, place):
+        fs.delete(aside, True)
+        raise RuntimeError(f"version {version} of {name} was made or begun by another writer meanwhile")
+    return version
+
+
 def save_bucketed(
     df: DataFrame, layout: Layout, name: str, key: str = "order_id", buckets: int = 1024
 ) -> DataFrame:

@@ -174,3 +174,23 @@ def test_rebuild_and_sync(spark, place):
     row = store.read_table(spark, place, "live_orders").first()
     assert (row.filled_qty, row.fill_rate) == (10, 0.1)
     assert refresh.current_prices(spark, place).first().last_price == 100.0
+
+
+def test_a_version_made_meanwhile_is_not_replaced(spark, tmp_path, monkeypatch):
+    place = store.Layout(str(tmp_path / "race"))
+    live = table(spark, "live_orders", [dict(order_id="O1")], **LIVE)
+    store.write_version(live, place, "live_orders")
+    adjusted = live.withColumn("qty", F.lit(777))
+    conform = store.conform
+
+    def slow(df, name):  # while the sync is made, a batch of actions commits the same version
+        monkeypatch.setattr(store, "conform", conform)
+        store.write_version(adjusted, place, "live_orders", 1, writer="actions/0")
+        return conform(df, name)
+
+    monkeypatch.setattr(store, "conform", slow)
+    with pytest.raises(RuntimeError, match="another writer"):
+        store.write_version(live, place, "live_orders")
+    assert store.versions(spark, place, "live_orders") == [0, 1]
+    assert store.read_table(spark, place, "live_orders").first().qty == 777
+    assert store.write_version(live, place, "live_orders") == 2
