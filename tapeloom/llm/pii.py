@@ -1,34 +1,41 @@
-"""Personal data: four base kinds by pattern and check, and more by bootstrapped contexts.
+"""Personal data: four base kinds by pattern and check, and more, with secrets, by bootstrapped contexts.
 
 Base. A kind's matches are leftmost and don't overlap; a match whose check fails is dropped. Spark has no
 function for the positions of all matches, so a text is split by the pattern too, and the lengths of
 pieces and matches add up to offsets in code points. The patterns are written so that a text of
 any length takes linear time and no recursion.
 
-Bootstrapping. Mentions are base spans and other tokens with an @ or several digits. A mention's patterns are
-the two words before it, and the words around it. Base spans are the seeds. Patterns and
+Bootstrapping. Mentions are base spans and other tokens with an @ or several digits, but for those that are
+an address, phone or number of 12 to 19 digits whose check fails. A mention's patterns are the two words before it, the words
+around it, and its own shape with the word before it or behind it; a shape has a for a run of letters, 0 for each
+digit, and x for a run of both. Seeds are the base spans and, of the further kind secret, quoted
+lower-case hex digests. Secrets count neither as base spans nor in the counts. Patterns and
 instances (the mentioned strings) form a graph. A round scores each pattern by the share of its
-instances that are believed to be of a kind, and each instance by the patterns that hold it: the
-chance that at least one of them is right. Patterns need SUPPORT believed instances and a share of PRECISION,
-instances a score of BELIEF, to count in the next round. Rounds end when one adds and takes nothing. Mentions of believed instances that overlap no base
-span are the spans that the method adds.
+instances that are believed to be of a kind, those of unknown kind counting UNKNOWN, and each instance by the
+patterns that hold it: the chance that at least one of them is right. Patterns need SUPPORT believed instances and a share of PRECISION,
+instances a score of BELIEF, to count in the next round. Rounds end when one adds and takes nothing. Mentions of believed instances and
+of seeds that overlap no base span are the spans that the method adds.
 
 All of it are DataFrame functions. Edges are distinct pairs; a pattern or string that a third of the
 mentions have is aggregated before the shuffle, and its edges are dealt out in joins. What is known of a
 document's spans is stored once in the shared scratch folder, without the text; so is each round.
 
 A null text counts as empty. Repeated rows each get their spans; further columns are ignored; an
-empty table gives no rows. Spans that start together are in the order email, ip, card, phone.
+empty table gives no rows. Spans that start together are in the order email, ip, card, phone, secret.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom.llm.common import salted_join, stored
 
 KINDS = ("email", "ip", "card", "phone")
+NAMES = (*KINDS, "secret")
+SECRET = NAMES.index("secret")
 #: A run that a match could start in is tried at its start only, or where the last match ended.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -37,6 +44,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+#: Tokens that are seeds of the kind secret.
+DIGEST = r"""^["'`](?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64})["'`][.,;]?$"""
 EDGE, INNER = "[^A-Za-z0-9@+]", "[A-Za-z0-9@+]"
 #: Matches whose offsets are summed up one by one.
 BLOCK = 256
@@ -44,6 +53,8 @@ BLOCK = 256
 CONTEXT = 80
 DIGITS = 5
 SUPPORT, PRECISION, BELIEF = 3, 0.6, 0.8
+#: What an instance of unknown kind counts against a pattern; one of another kind counts 1.
+UNKNOWN = 0.5
 
 
 def _digits(s: Column) -> Column:
@@ -115,7 +126,8 @@ def _words(left: Column, right: Column) -> Column:
 
 def located(docs: DataFrame) -> DataFrame:
     """(doc_id, digest, base, tokens): the base spans (start, kind, stop, surface, words) in order, kind being
-    the index in KINDS, and the tokens (start, stop, surface, words) that may be identifiers."""
+    the index in NAMES, and the tokens (start, stop, kind, surface, words) that may be identifiers, of kind
+    secret or null."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), text.alias("text"), text.rlike("[0-9]").alias("numbers"))
     asks = {"email": F.col("text").contains("@"), "phone": F.col("numbers") & F.col("text").contains("+")}
@@ -134,10 +146,17 @@ def located(docs: DataFrame) -> DataFrame:
         lead = F.length(s["surface"]) - F.length(F.regexp_replace(s["surface"], f"^{EDGE}+", ""))
         core = F.regexp_replace(s["surface"], f"^{EDGE}+|(?<={INNER}){EDGE}+$", "")
         start = s["start"] + lead
-        return F.struct(start.alias("start"), (start + F.length(core)).alias("stop"), core.alias("surface"), _words(s["left"], s["right"]).alias("words"))
+        kind = F.when(s["surface"].rlike(DIGEST), F.lit(SECRET))
+        return F.struct(
+            start.alias("start"), (start + F.length(core)).alias("stop"), kind.alias("kind"), core.alias("surface"),
+            _words(s["left"], s["right"]).alias("words"),
+        )
 
     def shaped(s):
-        return s["surface"].contains("@") & (F.length(s["surface"]) > 2) | (F.length(_digits(s["surface"])) >= DIGITS)
+        whole = {k: s["surface"].rlike(f"^(?:{PATTERNS[k]})$") & ~_holds(k, s["surface"]) for k in ("ip", "card", "phone")}
+        whole["card"] &= F.length(_digits(s["surface"])).between(12, 19)  # other numbers are no cards, but may be something else
+        refused = functools.reduce(Column.__or__, whole.values())
+        return (s["surface"].contains("@") & (F.length(s["surface"]) > 2) | (F.length(_digits(s["surface"])) >= DIGITS)) & ~refused
 
     return rows.select(
         "doc_id", "digest", F.array_sort(F.concat(*(base(k) for k in KINDS))).alias("base"),
@@ -146,16 +165,16 @@ def located(docs: DataFrame) -> DataFrame:
 
 
 def mentions(spans: DataFrame) -> DataFrame:
-    """(doc_id, digest, start, stop, kind, instance, words): base spans, and the tokens, of kind null, that
-    overlap none of them."""
+    """(doc_id, digest, start, stop, kind, instance, words): base spans, and the tokens, of kind secret or
+    null, that overlap none of them."""
     plain = lambda s, kind: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), kind.alias("kind"), F.lower(s["surface"]).alias("instance"), s["words"].alias("words"))
-    every = F.concat(F.transform("base", lambda s: plain(s, s["kind"])), F.transform("tokens", lambda s: plain(s, F.lit(None).cast("int"))))
+    every = F.concat(F.transform("base", lambda s: plain(s, s["kind"])), F.transform("tokens", lambda s: plain(s, s["kind"])))
     rows = spans.select("doc_id", "digest", F.explode(every).alias("m")).select("doc_id", "digest", "m.*")
-    text = Window.partitionBy("doc_id", "digest").orderBy("start", F.col("kind").isNull(), "stop")
-    is_base = F.col("kind").isNotNull()
+    is_base = F.coalesce(F.col("kind") < SECRET, F.lit(False))
+    text = Window.partitionBy("doc_id", "digest").orderBy("start", ~is_base, "stop")
     reached = F.max(F.when(is_base, F.col("stop"))).over(text.rowsBetween(Window.unboundedPreceding, -1))
     # the next base span is the first from here backwards
-    back = Window.partitionBy("doc_id", "digest").orderBy(F.desc("start"), F.col("kind").isNull().desc(), F.desc("stop"))
+    back = Window.partitionBy("doc_id", "digest").orderBy(F.desc("start"), is_base, F.desc("stop"))
     ahead = F.min(F.when(is_base, F.col("start"))).over(back.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumns({"reached": F.coalesce(reached, F.lit(0)), "ahead": F.coalesce(ahead, F.lit(2**31 - 1))})
     return rows.where(is_base | (F.col("reached") <= F.col("start")) & (F.col("ahead") >= F.col("stop"))).drop("reached", "ahead")
@@ -164,11 +183,20 @@ def mentions(spans: DataFrame) -> DataFrame:
 # -- bootstrapping ---------------------------------------------------------------------------
 
 
+def _shape(instance: Column) -> Column:
+    """a for a run of letters, 0 for each digit, x for a run of both."""
+    both = F.regexp_replace(instance, r"(?<![\p{L}0-9])(?:\p{L}++[0-9]|[0-9]++\p{L})[\p{L}0-9]*+", "X")
+    return F.translate(F.regexp_replace(both, r"[\p{L}&&[^X]]++", "a"), "X123456789", "x000000000")
+
+
 def edges(mentions: DataFrame) -> DataFrame:
-    """(pattern, instance, kind): the graph; kind is that of a base span, or null."""
+    """(pattern, instance, kind): the graph; kind is that of a seed, or null."""
+    shape = F.concat(F.lit("shape "), _shape(F.col("instance")))
     patterns = F.array(
         F.concat(F.lit("before "), "words.left2", F.lit(" "), "words.left1"),
         F.concat(F.lit("around "), "words.left1", F.lit(" "), "words.right1"),
+        F.concat(shape, F.lit(" after "), "words.left1"),
+        F.concat(shape, F.lit(" before "), "words.right1"),
     )
     return mentions.select(F.explode(patterns).alias("pattern"), "instance", "kind").distinct()
 
@@ -177,8 +205,11 @@ def scored_patterns(graph: DataFrame, believed: DataFrame, support: int = SUPPOR
     """(pattern, kind, share) of the patterns to trust. graph (pattern, instance), believed (instance, kind)."""
     sizes = graph.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     hits = salted_join(graph, believed, ["instance"], "pattern").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("hits"))
-    trusted = hits.where(F.col("hits") >= support).join(sizes, "pattern")
-    return trusted.select("pattern", "kind", (F.col("hits") / F.col("n")).alias("share")).where(F.col("share") >= precision)
+    hits = stored(hits, "hits")
+    known = hits.groupBy("pattern").agg(F.sum("hits").alias("known"))
+    trusted = hits.where(F.col("hits") >= support).join(known, "pattern").join(sizes, "pattern")
+    weight = F.col("known") + UNKNOWN * (F.col("n") - F.col("known"))
+    return trusted.select("pattern", "kind", (F.col("hits") / weight).alias("share")).where(F.col("share") >= precision)
 
 
 def scored_instances(graph: DataFrame, patterns: DataFrame, belief: float = BELIEF) -> DataFrame:
@@ -189,11 +220,16 @@ def scored_instances(graph: DataFrame, patterns: DataFrame, belief: float = BELI
     return best.select("instance", (-F.col("b.col2")).cast("int").alias("kind"))
 
 
+def seeded(graph: DataFrame) -> DataFrame:
+    """(instance, kind) of the seeds in a graph."""
+    return graph.where("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind"))
+
+
 def discovered(graph: DataFrame) -> DataFrame:
     """(instance, kind) that patterns of high confidence add to the seeds, after as many rounds as it takes
     until one leaves them as they were. Instances whose kind goes to and fro could repeat several
     states in turn; then the first that comes again is taken."""
-    seeds = stored(graph.where("kind IS NOT NULL").groupBy("instance").agg(F.min("kind").alias("kind")), "seeds")
+    seeds = stored(seeded(graph), "seeds")
     graph = stored(graph.select("pattern", "instance").distinct(), "graph")
     added, now, before = None, (0, None), set()
     while now not in before:
@@ -208,7 +244,7 @@ def discovered(graph: DataFrame) -> DataFrame:
 
 def _joined(spans: Column) -> Column:
     """kind:start:stop of spans (start, kind, stop), joined by commas."""
-    name = F.array(*map(F.lit, KINDS))
+    name = F.array(*map(F.lit, NAMES))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
@@ -217,8 +253,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     spans = stored(located(docs), "spans")
     seen = stored(mentions(spans), "mentions")
     graph = stored(edges(seen), "edges")
-    others = stored(seen.where("kind IS NULL").select("doc_id", "digest", "start", "stop", "instance").distinct(), "others")
-    new = salted_join(others, discovered(graph), ["instance"], "digest")
+    others = seen.where(F.coalesce("kind", F.lit(SECRET)) == SECRET)
+    others = stored(others.select("doc_id", "digest", "start", "stop", "instance").distinct(), "others")
+    believed = discovered(graph).unionByName(seeded(graph).where(F.col("kind") == SECRET))
+    new = salted_join(others, believed, ["instance"], "digest")
     new = new.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "kind", "stop")).alias("new"))
     new = new.select(F.col("doc_id").alias("id"), F.col("digest").alias("of"), "new")
     rows = spans.select("doc_id", "digest", F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["stop"].alias("stop"))).alias("base"))

@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, further columns."""
 
+import hashlib
 import random
 
 import pytest
@@ -277,6 +278,17 @@ def test_contexts_discover_identifiers_over_many_steps(spark):
     assert [d for d in range(len(rows)) if not got[d].startswith("phone:11:")] == [len(rows) - 1]
 
 
+def test_contexts_discover_secrets(spark):
+    digest = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
+    rows = [(i, f'{prose(i, 4)} token = "{digest(i)}" {prose(i, 3)}') for i in range(12)]
+    rows += [(20, f'token = "{digest(20).upper()}"!! x'), (21, 'token = "k9-77x-0081-aa21"'), (22, f"commit {digest(22)} done"), (23, "token = 4111111111111112")]
+    got = {r["doc_id"]: r for r in pii.personal_data(frame(spark, rows)).collect()}
+    assert all(got[i]["spans"] == f"secret:{(at := t.index(digest(i)))}:{at + 40}" for i, t in rows[:12])
+    assert got[20]["spans"] == "secret:9:49" and got[21]["spans"] == "secret:9:25"
+    assert got[22]["spans"] == got[23]["spans"] == ""  # another context; a number that fails its check
+    assert {got[i]["n_email"] + got[i]["n_ip"] + got[i]["n_card"] + got[i]["n_phone"] for i in got} == {0}
+
+
 def test_bpe_of_odd_texts(spark):
     r = random.Random(4)
     pool = "aAbZ 1²İ\n\t\x0b\x1c\x85  's漢字😀՘₏Ɤ\U00010d40\U0003fc3b!?…<|endoftext|>_"
