@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Tokens are runs of letters, digits and underscores, lower-cased. Every window of MIN_MATCH tokens of
-an item is a seed. Documents are read once: windows that may be seeds, by a bitmap of fixed size,
+Tokens are runs of letters, digits and underscores, lower-cased; of scripts written without spaces, each
+character is one. Every window of MIN_MATCH tokens of an item is a seed, and an item of fewer tokens
+is one seed as a whole. Documents are read once: windows that may be seeds, by a bitmap of fixed size,
 are kept together with the tokens they cover, and joined with the seeds. A (document, item) pair
 that shares a seed is tiled: a common run of MIN_MATCH tokens or more consists of shared seeds, so
 the tokens kept of the document are enough and its text is not needed again.
@@ -10,8 +11,8 @@ Tiling runs Karp-Rabin with search lengths from long to short: windows of the cu
 item's untiled tokens are hashed, the document's untiled windows are looked up, matches are compared
 token by token, extended to both sides, and marked longest first, so tiles never overlap. Passages
 of an item are found in whatever order the document has them. An item is leaked if tiles
-cover THRESHOLD percent of its tokens. Items of fewer than MIN_MATCH tokens prove nothing and are
-never leaked.
+cover THRESHOLD percent of its tokens. An item of fewer than MIN_MATCH tokens is leaked by documents that
+have all of them in a row.
 
 Pairs are dealt out by document and item, so neither an item that a third of the documents hold nor a
 document with many items ends up in one task; an item's tokens go to its pairs by a salted join.
@@ -38,7 +39,11 @@ from xxhash import xxh64_intdigest
 
 from tapeloom.llm.common import Prefilter, arrow, gram_hashes, salted_join, stored
 
+#: Thai to Lao, Burmese, Khmer, kana, Chinese characters.
+SPACELESS = "\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF"
 TOKEN = re.compile(r"\w+").findall
+TOKEN_OR_CHARACTER = re.compile(rf"(?=\w)[{SPACELESS}]|[^\W{SPACELESS}]+").findall
+HAS_SPACELESS = re.compile(f"[{SPACELESS}]").search
 MIN_MATCH = 6
 #: Percent of an item's tokens that have to be in tiles.
 THRESHOLD = 50
@@ -51,7 +56,8 @@ MASK = (1 << 64) - 1
 
 
 def token_hashes(text: str | None) -> np.ndarray:
-    tokens = TOKEN(text.lower()) if text else []
+    text = text.lower() if text else ""
+    tokens = TOKEN(text) if text.isascii() or not HAS_SPACELESS(text) else TOKEN_OR_CHARACTER(text)
     return np.fromiter((xxh64_intdigest(t) for t in tokens), np.uint64, len(tokens))
 
 
@@ -135,7 +141,7 @@ def _keyed(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def item_tokens(benchmark: DataFrame) -> DataFrame:
-    """(item_id, item_digest, tokens) of the items that are long enough, each once."""
+    """(item_id, item_digest, tokens) of the items, each once."""
     kind = pa.list_(pa.int64())
 
     def hashed(texts: pa.Array) -> pa.Array:
@@ -147,19 +153,21 @@ def item_tokens(benchmark: DataFrame) -> DataFrame:
 
 
 def item_seeds(items: DataFrame, k: int = MIN_MATCH) -> DataFrame:
-    """(seed, item_id, item_digest, n, places): the windows of each item and how often it has them."""
+    """(seed, item_id, item_digest, n, places): the windows of each item, or all of a shorter one, and how
+    often it has them."""
     kind = pa.list_(pa.int64())
 
     def seeds(tokens: pa.Array) -> pa.Array:
-        return pa.array([gram_hashes(np.asarray(x.values).view(np.uint64), k).view(np.int64) for x in tokens], kind)
+        every = (np.asarray(x.values).view(np.uint64) for x in tokens)
+        return pa.array([gram_hashes(x, min(k, len(x)) or k).view(np.int64) for x in every], kind)
 
     rows = items.select("item_id", "item_digest", F.size("tokens").alias("n"), F.explode(arrow(seeds, "array<long>")("tokens")).alias("seed"))
     return rows.groupBy("seed", "item_id", "item_digest", "n").agg(F.count(F.lit(1)).alias("places"))
 
 
-def seeded(docs: DataFrame, seeds: DataFrame, k: int = MIN_MATCH) -> DataFrame:
+def seeded(docs: DataFrame, seeds: DataFrame, sizes: list[int]) -> DataFrame:
     """(doc_id, digest, seeds, tokens) of the documents that may have a seed: their distinct seeds, and
-    the tokens that these cover, with a 0 after each run of them."""
+    the tokens that these cover, with a 0 after each run of them. Seeds are of the given sizes."""
     maybe = Prefilter(seeds, "seed", SEED_BITS)
     lists = pa.list_(pa.int64())
     kind = pa.schema([("doc_id", pa.int64()), ("digest", pa.int64()), ("seeds", lists), ("tokens", lists)])
@@ -169,14 +177,19 @@ def seeded(docs: DataFrame, seeds: DataFrame, k: int = MIN_MATCH) -> DataFrame:
             rows = []
             for doc, digest, text in zip(*batch.columns, strict=True):
                 tokens = token_hashes(text.as_py())
-                grams = gram_hashes(tokens, k).view(np.int64)
-                at = np.flatnonzero(maybe.test(grams))
-                if not len(at):
+                own, covered = [], np.zeros(len(tokens) + 1, np.int32)
+                for k in sizes:
+                    grams = gram_hashes(tokens, k).view(np.int64)
+                    at = np.flatnonzero(maybe.test(grams))
+                    own.append(grams[at])
+                    np.add.at(covered, at, 1)
+                    np.add.at(covered, at + k, -1)
+                found = np.unique(np.concatenate(own))
+                if not len(found):
                     continue
-                starts = at[np.r_[True, np.diff(at) > k]]  # runs that touch or overlap are one
-                ends = at[np.r_[np.diff(at) > k, True]] + k
-                runs = [np.r_[tokens[a:b], np.uint64(0)] for a, b in zip(starts, ends, strict=True)]
-                rows.append((doc.as_py(), digest.as_py(), np.unique(grams[at]), np.concatenate(runs).view(np.int64)))
+                steps = np.diff(np.r_[0, np.cumsum(covered) > 0].astype(np.int8))  # runs that touch or overlap are one
+                runs = [np.r_[tokens[a:b], np.uint64(0)] for a, b in zip(np.flatnonzero(steps > 0), np.flatnonzero(steps < 0), strict=True)]
+                rows.append((doc.as_py(), digest.as_py(), found, np.concatenate(runs).view(np.int64)))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind, strict=True)], schema=kind)
 
@@ -191,7 +204,8 @@ def tiled(item: Column, doc: Column) -> Column:
         rows = []
         for x, y in zip(items, docs, strict=True):
             tokens = y.as_py()
-            found = tiles(x.as_py(), tokens, [t != 0 for t in tokens])
+            item = x.as_py()
+            found = tiles(item, tokens, [t != 0 for t in tokens], min(MIN_MATCH, len(item)))
             rows.append({"n_covered": sum(n for _, _, n in found), "n_tiles": len(found)})
         return pa.array(rows, kind)
 
@@ -202,10 +216,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: int = THRESHOLD) ->
     """(doc_id, item_id, n_tokens, n_covered, n_tiles) of the documents that hold an item."""
     items = stored(item_tokens(benchmark), "items")
     seeds = stored(item_seeds(items), "seeds")
-    hits = stored(seeded(docs, seeds).dropDuplicates(["doc_id", "digest"]), "hits")
+    short = items.select(F.size("tokens").alias("n")).where(f"n BETWEEN 1 AND {MIN_MATCH - 1}").distinct()
+    sizes = [*(r["n"] for r in short.collect()), MIN_MATCH]  # MIN_MATCH at most
+    hits = stored(seeded(docs, seeds, sizes).dropDuplicates(["doc_id", "digest"]), "hits")
     rows = stored(hits.select("doc_id", "digest", F.explode("seeds").alias("seed")), "hit-seeds")
     shared = salted_join(rows, seeds, ["seed"], "digest")
-    # tiles of MIN_MATCH tokens have one seed each; with fewer places the threshold is out of reach
+    # tiles of MIN_MATCH tokens have one seed each, and short items one; with fewer places the threshold is out of reach
     enough = F.col("places") * (MIN_MATCH * 100) >= F.col("n") * threshold
     pair = ["doc_id", "digest", "item_id", "item_digest"]
     pairs = stored(shared.groupBy(*pair, "n").agg(F.sum("places").alias("places")).where(enough), "pairs")

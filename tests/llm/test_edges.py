@@ -146,12 +146,28 @@ def test_reordered_items_are_leaks(spark):
     words = prose(20, 40).split()
     swapped = " ".join([*words[20:], "in", "between", *words[:20]])
     docs = frame(spark, [(1, prose(1) + " " + swapped), (2, prose(2)), (3, " ".join(words[:15])), (None, " ".join(words))])
-    items = spark.createDataFrame([(7, " ".join(words)), (8, "too short"), (9, None), (7, " ".join(words))], "item_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(words)), (8, "too short for it"), (9, None), (7, " ".join(words))], "item_id long, text string")
     got = {(r["doc_id"], r["item_id"], r["n_covered"], r["n_tiles"]) for r in decontaminate.leaks(docs, items).collect()}
     assert got == {(1, 7, 40, 2), (None, 7, 40, 1)}
     assert {r["doc_id"] for r in decontaminate.drop_leaked(docs, items).collect()} == {2, 3}
 
 
+def test_short_items_and_items_without_spaces_are_leaks(spark):
+    """Items of one to five tokens, held and nearly held; boilerplate in a third of both tables."""
+    words, rule = prose(40, 5).split(), prose(41, 9)
+    clause = "\u5951\u7d04\u306f\u53cc\u65b9\u306e\u5408\u610f\u306b\u3088\u308a\u6210\u7acb\u3059\u308b"
+    texts = {n: " ".join(f"{w}{n}" for w in words[:n]) for n in range(1, 6)}
+    items = [*texts.items(), (6, clause), (7, clause[:3]), (8, "..."), *((i, f"{rule} {prose(i, 30)}") for i in range(10, 14))]
+    docs = [(n, f"{prose(50 + n, 8)} {t.upper()}, {prose(60 + n, 8)}") for n, t in texts.items()]
+    docs += [(10 + n, " and ".join(t.split())) for n, t in texts.items() if n > 1]  # not in a row
+    docs += [(20, "\u7b2c\u4e8c\u6761 " + clause + "\u3002"), (21, clause[:2] + " x " + clause[2:5]), (22, None)]
+    docs += [(30 + i, f"{prose(70 + i, 20)} {rule} {prose(80 + i, 20)}") for i in range(6)]
+    frames = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["n_tokens"], r["n_covered"], r["n_tiles"]) for r in decontaminate.leaks(*frames).collect()}
+    assert got == {**{(n, n): (n, n, 1) for n in texts}, (20, 6): (len(clause), len(clause), 1), (20, 7): (3, 3, 1)}
+    assert {r["doc_id"] for r in decontaminate.drop_leaked(*frames).collect()} == {d for d, _ in docs} - {1, 2, 3, 4, 5, 20}
+
+
 def test_a_passage_that_no_earlier_document_has_whole(spark):
     """Two documents have one half each of what two later ones share; fuzzy, and in exact copies."""
     p = prose(30, 70).split()
