@@ -401,3 +401,15 @@ def test_a_hot_url_over_many_chunks(spark):
     df = r.select("record_id", "kind", F.lit("http://a.b/").alias("url"), F.col("id").alias("ts"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("headers"), F.lit("d").alias("payload_digest"))
     got = revisits.resolved(df).select(F.col("ts") - F.substring("answer", 2, 9).cast("long"), "ts").collect()
     assert len(got) == 2400 and all(d == t % 5 for d, t in got)
+
+
+def test_frequent_seeds_meet_by_the_runs_that_few_places_have(spark):
+    """Two seeds that more than FEW documents have, one after the other in two of them only."""
+    many = range(substring.FEW + 4)
+    rows = [(7, d, 10) for d in many] + [(9, 100 + d, 50) for d in many] + [(9, d, 14) for d in (3, 8)]
+    places = spark.createDataFrame(rows, "h long, doc_id long, pos int").selectExpr("*", "0 AS stretch", "true AS open", "true AS seeks")
+    runs = substring.in_runs(places)
+    assert runs.count() == len(rows)
+    got = substring.met(runs.where("few")).select("doc_id", "partner", "pos", "at").collect()
+    assert sorted(map(tuple, got)) == [(8, 3, 10, 10), (8, 3, 14, 14)]
+    assert {r["doc_id"] for r in runs.where("NOT few").collect()} >= {0, 100}
