@@ -8,6 +8,7 @@ from tapeloom.operators.order_state import apply_order_actions
 from tapeloom.plans import refresh
 from tapeloom.plans.gold import market_snapshot_gold, order_analytics_gold, trading_performance_gold
 from tapeloom.plans.silver import executions_silver, market_data_silver, orders_silver
+from tapeloom.session import tune
 from tapeloom.sources import layout as store
 from tapeloom.sources.dimensions import dimension
 from tapeloom.streaming.jobs import ONCE, apply_batch, start_actions, start_gold, start_silver
@@ -198,3 +199,8 @@ def test_unknown_stream(spark, place):
         start_silver(spark, place, "order_analytics_gold")
     with pytest.raises(ValueError):
         store.read_stream(spark, place, "live_orders")
+
+
+def test_state_stores_do_not_count_their_rows(spark):
+    """A count takes a lookup before each write of a row into the state."""
+    assert tune(spark, streaming=True).conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
