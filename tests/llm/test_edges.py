@@ -207,6 +207,17 @@ def test_a_passage_whose_pieces_are_frequent_elsewhere(spark):
     assert {frozenset((r["doc_id"], r["partner_id"])) for r in got} == {frozenset((150, 160))}
 
 
+def test_an_edited_passage_whose_seeds_are_all_frequent(spark):
+    """Two documents share two pieces with different words between, and 60 others have one of the pieces each. No run of
+    seeds is the same in both beyond a piece, and none of the two is a centre."""
+    a, b = prose(45, 30), prose(46, 30)
+    rows = [(i, f"{prose(1000 + i)} {(a, b)[i % 2]}") for i in range(120)]
+    rows += [(i, f"{prose(2000 + i)} {(a, b)[i % 2]} {prose(3000 + i)}") for i in range(200, 320)]
+    rows += [(150, f"{prose(47)} {a} one {b} {prose(48)}"), (160, f"{a} some other words {b} {prose(49)}")]
+    got = {frozenset((r["doc_id"], r["partner_id"])): r["matched"] for r in substring.repeated_passages(frame(spark, rows)).collect()}
+    assert got == {frozenset((150, 160)): 60}
+
+
 def rounds_only(words, found):
     return found.limit(0)
 
