@@ -2,7 +2,8 @@
 
 A batch of silver rows adds its fills to the sums of their orders. What the touched orders add to their
 trader's day changes from their old row to the new one, so the old contribution is taken off and
-the new one added: counts and sums of integers, which are exact in any order. Only the buckets
+the new one added: counts and sums of integers, which are exact in any order. Both are summed over the
+whole touched buckets, without a join, since the orders in them that did not change cancel out. Only the buckets
 of touched orders, and of the days of their traders, are read and written.
 
 Fills may precede their order: their sums wait, and the order is shown once it arrives. An
@@ -91,7 +92,11 @@ def sums_of(changes: DataFrame) -> DataFrame:
 
 def merged(before: DataFrame, more: DataFrame) -> DataFrame:
     """The sums of both, by order."""
-    return before.unionByName(more).groupBy("order_id").agg(
+    return summed(before.unionByName(more), "order_id")
+
+
+def summed(sums: DataFrame, *keys: str) -> DataFrame:
+    return sums.groupBy(*keys).agg(
         F.max("attributes").alias("attributes"),
         *(F.sum(name).cast(kind).alias(name) for name, kind in _FILL_SUMS.items()),
         F.min("first_fill_time").alias("first_fill_time"), F.max("last_fill_time").alias("last_fill_time"),
@@ -150,6 +155,11 @@ def merged_days(*sums: DataFrame) -> DataFrame:
     return rows.groupBy("trader_id", "trade_date", "etf_ticker").agg(*(F.sum(n).cast(k).alias(n) for n, k in _DAY_SUMS.items()))
 
 
+def changed_days(delta: DataFrame) -> DataFrame:
+    """The rows that are not all zero: what orders of a touched bucket that are as they were add and take off is the same."""
+    return delta.where(F.greatest(*(F.abs(F.col(n)).cast("decimal(38,0)") for n in _DAY_SUMS)) > 0)
+
+
 def performance_of(sums: DataFrame) -> DataFrame:
     """The gold rows of traders' days from their sums by fund. A fund counts while orders of it are left."""
     total = lambda name: F.sum(name)
@@ -186,11 +196,9 @@ def apply_changes(spark: SparkSession, layout: Layout, changes: DataFrame, batch
         if not touched:
             return
         before = orders.read(spark, touched, batch)
-        orders.write(merged(before, new), batch)
-        keys = new.select("order_id")
-        old = day_sums(analytics_of(before.join(keys, "order_id", "left_semi")))
-        after = orders.read(spark, touched, batch + 1).join(keys, "order_id", "left_semi")
-        delta = merged_days(taken_off(old), day_sums(analytics_of(after))).persist()
+        orders.write(summed(orders.spread(before.unionByName(new), touched), "bucket", "part", "order_id"), batch)
+        old, now = (day_sums(analytics_of(rows)) for rows in (before, orders.read(spark, touched, batch + 1)))
+        delta = changed_days(merged_days(taken_off(old), now)).persist()
         if of_days := days.touched(delta):
             days.write(merged_days(days.read(spark, of_days, batch), delta), batch)
             rows.write(performance_of(days.read(spark, of_days, batch + 1)), batch)

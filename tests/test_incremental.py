@@ -84,6 +84,39 @@ def test_a_batch_on_one_order_reads_and_writes_one_bucket(spark, place):
     assert rows(incremental.order_progress(spark, place, ["O7"], 8)) == rows(gold.where("order_id = 'O7'"))
 
 
+def test_traders_days_that_stay_as_they_are_are_not_written(spark, place):
+    """An order that arrives again as it was: its bucket is written, and what it takes off and adds cancels out."""
+    orders, fills = silver_tables(spark)
+    incremental.apply_changes(spark, place, incremental.changes_of(orders, fills), 0, 8)
+    before = rows(incremental.read_trading_performance(spark, place))
+    incremental.apply_changes(spark, place, incremental.changes_of(orders.where("order_id = 'O7'")), 1, 8)
+    assert {n for _, n in folders(spark, incremental.trader_day_rows(place, 8))} == {0}
+    assert rows(incremental.read_trading_performance(spark, place)) == before
+
+
+def test_a_batch_of_gold_joins_nothing(spark, place, monkeypatch):
+    """The sums of touched buckets are compared as they are read, without a shuffle of their rows for a join."""
+    plans, write = [], BucketTable.write
+    monkeypatch.setattr(BucketTable, "write", lambda t, df, batch: (plans.append(df._jdf.queryExecution().toString()), write(t, df, batch))[1])
+    orders, fills = (spark.createDataFrame(df.collect(), df.schema) for df in silver_tables(spark))
+    incremental.apply_changes(spark, place, incremental.changes_of(orders, fills), 0, 4)
+    incremental.apply_changes(spark, place, incremental.changes_of(executions=fills), 1, 4)
+    assert len(plans) == 6 and not any("Join" in p for p in plans)
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_a_large_bucket_is_written_by_several_tasks(spark, place, monkeypatch, spread):
+    t = BucketTable(place, "t", ("k",), "k string, v string", 1)
+    df = spark.range(0, 40000, 1, 8).selectExpr("CAST(id AS STRING) AS k", "sha2(CAST(id AS STRING), 256) AS v")
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        t.write(t.spread(df, [0]) if spread else df, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    assert len(t.read(spark).inputFiles()) > 1 and rows(t.read(spark)) == rows(df)
+
+
 def test_a_retried_batch_adds_nothing(spark, place):
     orders, fills = silver_tables(spark)
     early, late = fills.where("exec_id % 2 = 0"), fills.where("exec_id % 2 = 1")
