@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.llm import bpe, chat, decontaminate, line_dedup, minhash, pii, quality_rules, revisits, substring, url_filter
-from tapeloom.llm.common import components, salted_join, ship
+from tapeloom.llm.common import Prefilter, components, salted_join, ship
 from tapeloom.llm.queries import tokenizer_path
 from tests.llm.test_queries import base_spans, brute_components, brute_tiles, check_spans, reference_tokens
 
@@ -424,3 +426,33 @@ def test_frequent_seeds_meet_by_the_runs_that_few_places_have(spark):
     got = substring.met(runs.where("few")).select("doc_id", "partner", "pos", "at").collect()
     assert sorted(map(tuple, got)) == [(8, 3, 10, 10), (8, 3, 14, 14)]
     assert {r["doc_id"] for r in runs.where("NOT few").collect()} >= {0, 100}
+
+
+def test_a_full_prefilter_comes_to_the_driver_as_arrays(spark):
+    """2 MB of bits; as rows they took a hundred bytes for each eight."""
+    keys, bits = spark.range(1 << 18).select((F.col("id") * 64).alias("h")), 1 << 24
+    Prefilter(keys.limit(10), "h", bits)
+    tracemalloc.start()
+    full = Prefilter(keys, "h", bits)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * bits // 8, peak
+    assert full.test((64 * np.arange(1 << 18)).astype(np.int64)).all() and not full.test(np.arange(1, 64, dtype=np.int64)).any()
+
+
+def test_a_frequent_line_is_no_reason_to_look_at_a_pair(spark):
+    """All documents have the same line of four seeds; two have seeds around it alike, two others only such that are too near."""
+    rows = [(h, d, 100 + 4 * i) for d in range(40) for i, h in enumerate((1, 2, 3, 4))]
+    rows += [(50, 5, 80), (50, 6, 80), (51, 5, 130), (51, 6, 130), (60, 7, 96), (60, 8, 96), (70, 9, 10), (70, 10, 10), (71, 9, 160), (71, 10, 200)]
+    places = spark.createDataFrame(rows, "h long, doc_id long, pos int").selectExpr("*", "0 AS stretch", "true AS open", "true AS seeks")
+    places = substring._spared(places).localCheckpoint()
+    names = {"doc_id": "partner", "pos": "at", "stretch": "other"}
+    other = places.select("h", *[F.col(c).alias(n) for c, n in names.items()])
+    every = places.join(other, "h").where("doc_id > partner").drop("h")
+    met = substring.met_in(places, 0, substring.PARTS).localCheckpoint()
+    key = ("doc_id", "partner", "pos", "at")
+    got = {tuple(r) for r in met.select(*key).collect()}
+    assert {(6, 5, p, p) for p in (80, 100, 104, 108, 112, 130)} <= got <= {tuple(r) for r in every.select(*key).collect()}
+    assert len(got) < 40
+    chains = lambda df: sorted(map(str, substring.chained(df).collect()))
+    assert chains(met) == chains(every) and len(chains(met)) >= 2
