@@ -456,3 +456,14 @@ def test_a_frequent_line_is_no_reason_to_look_at_a_pair(spark):
     assert len(got) < 40
     chains = lambda df: sorted(map(str, substring.chained(df).collect()))
     assert chains(met) == chains(every) and len(chains(met)) >= 2
+
+
+def test_seeds_that_a_prefilter_holds(spark):
+    """Made anew, with the numbers that they have among all; a text's repeated seeds are held by the hash that they had before."""
+    df = frame(spark, [(1, prose(70)), (2, f"{prose(71)} {prose(70)}"), (3, " ".join(["again and"] * 60)), (4, None)])
+    every = [tuple(r) for r in substring.seeds(df).collect()]
+    some = Prefilter(spark.createDataFrame([(r[1],) for r in every if r[2] in (1, 3)], "h long"), "h", 1 << 25)
+    got = [tuple(r) for r in substring.seeds(df, some).collect()]
+    raw = {r[1] for r in every if r[2] in (1, 3)}
+    assert sorted(got) == sorted(r for r in every if r[1] in raw) and {r[2] for r in got} == {1, 2, 3}
+    assert any(r[0] != r[1] for r in got)
