@@ -1,16 +1,17 @@
-"""Streams whose cost follows the batch: fills joined with orders in state, gold by touched buckets."""
+"""Streams whose cost follows the batch: fills matched with orders that come before or after them, gold by touched buckets."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom.plans.incremental import apply_changes, changes_of
-from tapeloom.plans.silver import matched_executions
 from tapeloom.session import tune
 from tapeloom.sources.buckets import BUCKETS
-from tapeloom.sources.layout import Layout, write_batch
+from tapeloom.sources.layout import Layout
 from tapeloom.streaming.jobs import ONCE, Trigger, _each_batch, _source
+from tapeloom.streaming.matching import match_batch, tagged
 
 
 def start_matched_executions(
@@ -19,17 +20,17 @@ def start_matched_executions(
 ) -> StreamingQuery:
     """Stream fills into silver; a fill that arrives before its order waits for it.
 
-    Orders and fills that are still to be matched are kept in the state, and nothing else of the
+    Orders and fills that are still to be matched are kept in stored parts (`matching`), and nothing else of the
     history is read. It takes the place of `start_silver(..., "executions_silver")`.
     """
     tune(spark, streaming=True)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, layout, "executions_silver", batch_id)
+        fills, orders = (batch.where(F.col(c).isNotNull()).select(f"{c}.*") for c in ("fill", "order"))
+        match_batch(batch.sparkSession, layout, fills, orders, batch_id, within, late)
 
-    fills = _source(spark, layout, "raw_executions", max_files)
-    orders = _source(spark, layout, "raw_orders", max_files)
-    return _each_batch(matched_executions(fills, orders, within, late), layout, "matched_executions", trigger, handle)
+    rows = tagged(_source(spark, layout, "raw_executions", max_files), _source(spark, layout, "raw_orders", max_files))
+    return _each_batch(rows, layout, "matched_executions", trigger, handle)
 
 
 def start_order_gold(

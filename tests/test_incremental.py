@@ -13,6 +13,7 @@ from tapeloom.plans.silver import executions_silver, orders_silver
 from tapeloom.sources import layout as store
 from tapeloom.sources.buckets import BucketTable
 from tapeloom.sources.dimensions import dimension
+from tapeloom.streaming import matching
 from tapeloom.streaming.incremental import start_matched_executions, start_order_gold
 from tapeloom.streaming.jobs import ONCE
 from tapeloom.streaming.live import apply_live_batch, live_table, read_live_orders, start_live_orders
@@ -169,6 +170,49 @@ def test_streamed_fills_wait_for_their_orders(spark, place):
     assert run() == {"early": 1000.0, "next": 0.0, "lost": 0.0}
 
 
+def test_waiting_fills_take_no_state_store(spark, place):
+    """A state store looked every waiting fill up again in each batch."""
+    store.write_table(table(spark, "raw_executions", [dict(exec_id="early")], **FILL), place, "raw_executions")
+    query = start_matched_executions(spark, place, ONCE, within="10 days")
+    query.awaitTermination()
+    assert query.exception() is None and query.recentProgress and not any(p.stateOperators for p in query.recentProgress)
+
+
+def test_matching_in_batches_equals_one_join(spark, place, monkeypatch):
+    """Fills and orders in any order, an order that comes twice, late rows, merged and dropped parts, retried batches."""
+    monkeypatch.setattr(matching, "FAN", 2)
+    rng, start = random.Random(7), ts("2024-01-01 00:00:00")
+    day = lambda n: start + timedelta(days=n)
+    names = {"fills": "raw_executions", "orders": "raw_orders"}
+    frame = lambda side, rows_: table(spark, names[side], rows_, **(FILL if side == "fills" else ORDER))
+    taken = {"fills": [], "orders": []}
+    for batch in range(9):
+        fills = [dict(exec_id=f"{batch}-{i}", order_id=f"O{rng.randrange(12)}", exec_time=day(4 * batch + rng.randrange(4))) for i in range(8)]
+        orders = [dict(order_id=f"O{rng.randrange(10)}", created_at=day(4 * batch + rng.randrange(4)), arrival_price=10.0 + batch) for _ in range(4)]
+        now = {"fills": fills if batch % 3 != 1 else [], "orders": orders if batch % 3 != 2 else []}
+        if batch == 8:
+            now = {"fills": [dict(exec_id="last", order_id="none", exec_time=day(400))], "orders": [dict(order_id="last", created_at=day(400))]}
+        for side in taken:
+            taken[side] += now[side]
+        if batch == 7:
+            late = {"fills": [dict(exec_id="late", order_id="O1", exec_time=day(1))], "orders": [dict(order_id="O2", created_at=day(1), arrival_price=1.0)]}
+            now = {side: now[side] + late[side] for side in now}
+        for _ in range(2 if batch in (4, 8) else 1):  # the second time is a retry
+            matching.match_batch(spark, place, *(frame(side, now[side]) for side in ("fills", "orders")), batch, "10 days", "5 days")
+        parts = matching.manifest_before(spark, place, batch + 1).parts
+        assert all(len({p.level for p in ps}) == len(ps) or ps[-1].level == 0 for ps in parts.values())
+    expected = []
+    for f in taken["fills"][:-1]:
+        of = [o for o in taken["orders"] if o["order_id"] == f["order_id"] and abs(o["created_at"] - f["exec_time"]) <= timedelta(days=10)]
+        expected += [(f["exec_id"], o["arrival_price"]) for o in of] or [(f["exec_id"], None)]
+    got = [(r.exec_id, r.arrival_price) for r in store.read_table(spark, place, "executions_silver").collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    assert len({e for e, _ in expected}) < len(expected) and any(a is None for _, a in expected)
+    assert {side: [p.first for p in ps] for side, ps in parts.items()} == {"fills": [8], "orders": [8]}
+    with pytest.raises(RuntimeError, match="another query"):
+        matching.match_batch(spark, place, frame("fills", []), frame("orders", []), 3, "10 days", "5 days")
+
+
 def run_or_empty(spark, place, run):
     """No folder of silver is there before the first row."""
     try:
