@@ -204,3 +204,10 @@ def test_unknown_stream(spark, place):
 def test_state_stores_do_not_count_their_rows(spark):
     """A count takes a lookup before each write of a row into the state."""
     assert tune(spark, streaming=True).conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
+
+
+def test_state_stores_share_a_bound(spark):
+    """Without one, each store of an executor fills write buffers of its own."""
+    conf = tune(spark, streaming=True).conf
+    assert conf.get("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "false") == "true"
+    assert int(conf.get("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "500")) <= 256
